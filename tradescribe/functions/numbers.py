@@ -16,7 +16,7 @@ def _parts(number: Column) -> tuple[Column, Column, Column]:
     """Sign, integer digits (empty for zero) and the 12 decimals, all text."""
     size = F.abs(number)
     whole = F.floor(size).cast("decimal(38,0)")
-    rest = (size - F.floor(size)).cast("decimal(13,12)")
+    rest = (size % F.lit(1)).cast("decimal(13,12)")
     sign = F.when(number < 0, "-").otherwise("")
     digits = F.when(whole == 0, "").otherwise(whole.cast("string"))
     decimals = F.substring((rest + F.lit(1)).cast("decimal(13,12)").cast("string"), 3, K.AMOUNT_DECIMALS)

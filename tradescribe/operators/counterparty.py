@@ -1,0 +1,146 @@
+"""Counterparty resolution: primary code first, fallback code second.
+
+A third of all trades may share one counterparty, and one counterparty may own
+a third of all versions, so nothing here shuffles raw trades or raw versions by
+counterparty code:
+
+* versions shrink to the latest one inside each map task, before the shuffle;
+* trades shrink to their distinct (date, primary, fallback) combinations, and
+  only those are joined with the counterparties;
+* the trades themselves meet the finished matches in one join.  Both of its
+  sides come straight from a shuffle and the match side is unique, so adaptive
+  execution may split a hot combination or broadcast a small match table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tradescribe.sources.schemas import COUNTERPARTY_ATTRIBUTES
+from tradescribe.sources.tables import normal_counterparties
+
+# Names under which a trade carries attributes that would clash or mislead.
+CARRIED_AS = {"NAME": "CPTY_NAME", "LEI": "CPTY_LEI"}
+
+CARRIED_ATTRIBUTES = [CARRIED_AS.get(name, name) for name in COUNTERPARTY_ATTRIBUTES]
+
+MATCH_COLUMNS = [*CARRIED_ATTRIBUTES, "MATCH_PRIORITY", "MATCH_SOURCE"]
+
+# Empty text means "no code": it is NULL in the sources, hence never a code.
+NO_CODE = ""
+
+
+def primary_code() -> Column:
+    return F.col("HS_CNTRP")
+
+
+def fallback_code() -> Column:
+    """The second code, which only internal trades may fall back to."""
+    return F.when(F.col("H_INT") == "Y", F.col("D_CTP_ENT"))
+
+
+def relevant_keys(trades: DataFrame) -> DataFrame:
+    """Distinct (date, code) pairs under which trades look up a counterparty."""
+    codes = F.explode(F.array_distinct(F.array(primary_code(), fallback_code())))
+    return (
+        trades.select(F.col("THD_VALUE_DATE").alias("RPY_VALUE_DATE"), codes.alias("MUREX_COUNTERPART"))
+        .where(F.col("MUREX_COUNTERPART").isNotNull())
+        .distinct()
+    )
+
+
+def relevant_counterparties(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
+    """All versions of the counterparties that some trade refers to.
+
+    The null-safe comparison of the code changes no result, as a key is never
+    NULL.  It gives the keys a shuffle of their own, without which adaptive
+    execution could not split a counterparty with very many versions.
+    """
+    versions = normal_counterparties(counterparties)
+    keys = relevant_keys(trades).alias("k")
+    same_key = (F.col("c.RPY_VALUE_DATE") == F.col("k.RPY_VALUE_DATE")) & F.col(
+        "c.MUREX_COUNTERPART"
+    ).eqNullSafe(F.col("k.MUREX_COUNTERPART"))
+    return versions.alias("c").join(keys, same_key, "left_semi")
+
+
+def latest_versions(counterparties: DataFrame) -> DataFrame:
+    """The most recent version per (code, date).
+
+    A version without creation time is the oldest; among equal times the
+    greater attributes win, agent first, so the choice never varies.  As an
+    aggregate, it is known to be unique: a query that uses no counterparty
+    field drops the join altogether.
+    """
+    version = F.struct("SYS_CREAT_DTMS", *COUNTERPARTY_ATTRIBUTES)
+    return (
+        normal_counterparties(counterparties)
+        .where(F.col("MUREX_COUNTERPART").isNotNull() & F.col("RPY_VALUE_DATE").isNotNull())
+        .groupBy("MUREX_COUNTERPART", "RPY_VALUE_DATE")
+        .agg(F.max(version).alias("version"))
+        .select("MUREX_COUNTERPART", "RPY_VALUE_DATE", *[f"version.{name}" for name in COUNTERPARTY_ATTRIBUTES])
+    )
+
+
+def with_match_keys(trades: DataFrame) -> DataFrame:
+    """Trades plus the two non-NULL codes that decide their match."""
+    return trades.withColumns(
+        {
+            "PRIMARY_CODE": F.coalesce(primary_code(), F.lit(NO_CODE)),
+            "FALLBACK_CODE": F.coalesce(fallback_code(), F.lit(NO_CODE)),
+        }
+    )
+
+
+def match_table(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
+    """One resolved counterparty per distinct (date, primary, fallback).
+
+    The fallback is asked when the primary gave no agent, and then fills the
+    attributes the primary left empty, one by one.
+
+    A combination that lacks the code of a lookup is hashed by its other code,
+    so that such combinations spread over all tasks; the extra condition keeps
+    them from matching.
+    """
+    combos = (
+        with_match_keys(trades)
+        .where(F.col("THD_VALUE_DATE").isNotNull())
+        .where((F.col("PRIMARY_CODE") != NO_CODE) | (F.col("FALLBACK_CODE") != NO_CODE))
+        .select("THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE")
+        .distinct()
+    )
+    latest = latest_versions(counterparties)
+    has_primary = F.col("PRIMARY_CODE") != NO_CODE
+    has_fallback = F.col("FALLBACK_CODE") != NO_CODE
+
+    def on(side: str, code: Column) -> Column:
+        return (F.col(f"{side}.RPY_VALUE_DATE") == F.col("THD_VALUE_DATE")) & (
+            F.col(f"{side}.MUREX_COUNTERPART") == code
+        )
+
+    primary_or_any = F.when(has_primary, F.col("PRIMARY_CODE")).otherwise(F.col("FALLBACK_CODE"))
+    fallback_or_any = F.when(has_fallback, F.col("FALLBACK_CODE")).otherwise(F.col("PRIMARY_CODE"))
+    agent_1, agent_2 = F.col("first.AGENT_ID"), F.col("second.AGENT_ID")
+    resolved = combos.join(latest.alias("first"), on("first", primary_or_any) & has_primary, "left").join(
+        latest.alias("second"), on("second", fallback_or_any) & has_fallback & agent_1.isNull(), "left"
+    )
+    merged = [
+        F.coalesce(F.col(f"first.{name}"), F.col(f"second.{name}")).alias(CARRIED_AS.get(name, name))
+        for name in COUNTERPARTY_ATTRIBUTES
+    ]
+    provenance = [
+        F.when(agent_1.isNotNull(), 1).when(agent_2.isNotNull(), 2).alias("MATCH_PRIORITY"),
+        F.when(agent_1.isNotNull(), "HS_CNTRP").when(agent_2.isNotNull(), "D_CTP_ENT").alias("MATCH_SOURCE"),
+    ]
+    return resolved.select("THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE", *merged, *provenance)
+
+
+def attach_match(keyed: DataFrame, matches: DataFrame) -> DataFrame:
+    """Add the match columns to rows that carry the match keys."""
+    return keyed.join(matches, ["THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE"], "left")
+
+
+def matched_trades(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
+    """Trades with their counterparty's attributes and where the match came from."""
+    matched = attach_match(with_match_keys(trades), match_table(trades, counterparties))
+    return matched.select(*trades.columns, *MATCH_COLUMNS)
