@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 
 def empty_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
+    return F.when(text != "", text)
 
 
 def trimmed(text: Column) -> Column:

@@ -19,11 +19,32 @@ _FREQUENCIES = ("DAIL", "EXPI", "MNTH")
 _DAILY, _IRREGULAR, _MONTHLY = 1, 2, 3
 
 
+# Value dates are joined as day numbers.  A trade without a date keeps a number
+# that no flow has: it has no frequency, but its notionals are found by trade
+# number alone.
+NO_DAY = -(2**31)
+TRADE_KEY = ["NB", "DAY"]
+
+
+def with_day(trades: DataFrame) -> DataFrame:
+    """Trades plus the day number that, with NB, finds their schedule."""
+    return trades.withColumn("DAY", F.coalesce(F.unix_date("THD_VALUE_DATE"), F.lit(NO_DAY)))
+
+
+def _flow_day() -> Column:
+    return F.unix_date("FFL_VALUE_DATE")
+
+
+def _value_date() -> Column:
+    return F.date_from_unix_date("DAY").alias("THD_VALUE_DATE")
+
+
 def trade_copies(trades: DataFrame) -> DataFrame:
-    """Row count per (trade, date): all rows, and those whose steps count."""
+    """Row count per (trade, day): all rows, and those whose steps count."""
     return (
-        trades.where(F.col("NB").isNotNull() & F.col("THD_VALUE_DATE").isNotNull())
-        .groupBy("NB", "THD_VALUE_DATE")
+        with_day(trades)
+        .where(F.col("NB").isNotNull())
+        .groupBy(*TRADE_KEY)
         .agg(
             F.count(F.lit(1)).alias("COPIES"),
             F.count_if(F.col("TRN_GRP") != "RTRN").alias("STEP_COPIES"),
@@ -80,10 +101,9 @@ def notionals(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP)
     which lets adaptive execution split such a trade there as well.
     """
     most = elements_that_fit(cap)
-    copies = trade_copies(trades).select(F.col("NB").alias("TRADE"), "THD_VALUE_DATE", "COPIES")
+    copies = trade_copies(trades).select(F.col("NB").alias("TRADE"), F.col("DAY").alias("TRADE_DAY"), "COPIES")
     listed = notional_flows(fixflows).join(
-        copies,
-        F.col("NB").eqNullSafe(F.col("TRADE")) & (F.col("FFL_VALUE_DATE") == F.col("THD_VALUE_DATE")),
+        copies, F.col("NB").eqNullSafe(F.col("TRADE")) & (_flow_day() == F.col("TRADE_DAY"))
     )
     in_order = Window.partitionBy("NB").orderBy(
         F.col("DT_CAPREM0").isNull(),
@@ -125,11 +145,12 @@ def dated_steps(fixflows: DataFrame) -> DataFrame:
         F.col("NB").isNotNull()
         & F.col("DATE2").isNotNull()
         & F.col("LEGSTEP").between(K.FIRST_STEP, K.LAST_STEP)
-    ).select("NB", F.col("FFL_VALUE_DATE").alias("THD_VALUE_DATE"), "DT_LEG0", "LEGSTEP", "DATE2")
+    ).select("NB", _flow_day().alias("DAY"), "DT_LEG0", "LEGSTEP", "DATE2")
 
 
-def step_copies(trades: DataFrame) -> DataFrame:
-    return trade_copies(trades).where(F.col("STEP_COPIES") > 0).select("NB", "THD_VALUE_DATE", "STEP_COPIES")
+def counted_copies(trades: DataFrame) -> DataFrame:
+    """(Trade, date) pairs whose steps count, and how often they do."""
+    return trade_copies(trades).where(F.col("STEP_COPIES") > 0)
 
 
 def next_schedule_dates(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
@@ -139,20 +160,23 @@ def next_schedule_dates(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
     steps only, at most seventeen per calendar day.  In a run of equal steps
     each is followed by its twin and the last one by the next step.
     """
-    key = ["NB", "THD_VALUE_DATE", "DT_LEG0", "LEGSTEP", "DATE2"]
+    key = [*TRADE_KEY, "DT_LEG0", "LEGSTEP", "DATE2"]
     following = F.lead("DATE2").over(
-        Window.partitionBy("NB", "THD_VALUE_DATE", "DT_LEG0").orderBy("LEGSTEP", "DATE2")
+        Window.partitionBy(*TRADE_KEY, "DT_LEG0").orderBy("LEGSTEP", "DATE2")
     )
     steps = (
         dated_steps(fixflows)
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("TWINS"))
-        .join(step_copies(trades), ["NB", "THD_VALUE_DATE"])
+        .join(counted_copies(trades), TRADE_KEY)
         .select(*key, (F.col("TWINS") * F.col("STEP_COPIES")).alias("TWINS"), following.alias("FOLLOWING"))
     )
     is_last = F.col("TWIN") == F.col("TWINS")
     return repeat_rows(steps, "TWINS", "TWIN").select(
-        *key, F.when(is_last, F.col("FOLLOWING")).otherwise(F.col("DATE2")).alias("NEXT_DATE2")
+        "NB",
+        _value_date(),
+        *key[2:],
+        F.when(is_last, F.col("FOLLOWING")).otherwise(F.col("DATE2")).alias("NEXT_DATE2"),
     )
 
 
@@ -180,31 +204,35 @@ def _packed_day(packed: Column) -> Column:
     return F.date_from_unix_date((packed % _STEP_UNIT - _DAY_SHIFT).cast("int"))
 
 
-def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
-    """Payment frequency and its multiplier per (trade, date), for both legs.
-
-    Only the first step of a leg and what follows it matter.  Before any
-    shuffle each leg therefore shrinks to one row per opening date and one row
-    for the earliest later step, using hash aggregation on numbers only.
+def leg_points(fixflows: DataFrame) -> DataFrame:
+    """Per leg, one row per opening date and one for the earliest later step.
 
-    Twins need no rows of their own.  A twin shows a gap of no days, that is
-    the lowest frequency, which never beats the one of its group; but it does
-    set the multiplier.
+    Only the first step of a leg and what follows it decide the frequency, so
+    each leg shrinks to these rows before any shuffle, by hash aggregation on
+    numbers.
     """
     opening = F.when(F.col("LEGSTEP") == K.FIRST_STEP, F.col("DATE2"))
-    points = (
+    return (
         dated_steps(fixflows)
-        .groupBy("NB", "THD_VALUE_DATE", "DT_LEG0", opening.alias("OPENING"))
+        .groupBy(*TRADE_KEY, "DT_LEG0", opening.alias("OPENING"))
         .agg(
             F.count(F.lit(1)).alias("TWINS"),
             F.min(_packed_step(F.col("LEGSTEP"), F.col("DATE2"))).alias("STEP"),
         )
-        .join(step_copies(trades), ["NB", "THD_VALUE_DATE"])
         .withColumn("START", _packed_day(F.col("STEP")))
     )
+
+
+def _leg_frequencies(points: DataFrame) -> DataFrame:
+    """Frequency and multiplier of both legs, from points with their copies.
+
+    Twins need no rows of their own.  A twin shows a gap of no days, that is
+    the lowest frequency, which never beats the one of its group; but it does
+    set the multiplier.
+    """
     # One window over both legs needs the same partitioning as the grouping
     # below, and so costs no shuffle.
-    leg_order = Window.partitionBy("NB", "THD_VALUE_DATE").orderBy("DT_LEG0", F.asc_nulls_last("OPENING"))
+    leg_order = Window.partitionBy(*TRADE_KEY).orderBy("DT_LEG0", F.asc_nulls_last("OPENING"))
     same_leg = F.lead("DT_LEG0").over(leg_order).eqNullSafe(F.col("DT_LEG0"))
     judged = (
         points.withColumn("FOLLOWING", F.when(same_leg, F.lead("START").over(leg_order)))
@@ -216,7 +244,7 @@ def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
     def on_leg(leg: int, value: Column) -> Column:
         return F.max(F.when(F.col("DT_LEG0") == leg, value))
 
-    coded = judged.groupBy("NB", "THD_VALUE_DATE").agg(
+    coded = judged.groupBy(*TRADE_KEY).agg(
         on_leg(0, F.col("CODE")).alias("CODE_1"),
         on_leg(1, F.col("CODE")).alias("CODE_2"),
         on_leg(0, F.when(regular, 1)).alias("QTY_FREQ_MULT_LEG_1"),
@@ -224,8 +252,7 @@ def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
     )
     names = F.array(*[F.lit(name) for name in _FREQUENCIES])
     return coded.select(
-        "NB",
-        "THD_VALUE_DATE",
+        *TRADE_KEY,
         F.get(names, F.col("CODE_1") - 1).alias("QTY_FREQUENCY_LEG_1"),
         F.get(names, F.col("CODE_2") - 1).alias("QTY_FREQUENCY_LEG_2"),
         "QTY_FREQ_MULT_LEG_1",
@@ -233,19 +260,28 @@ def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
     )
 
 
+def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
+    """Payment frequency and its multiplier per (trade, date) with dated steps."""
+    found = _leg_frequencies(counted_copies(trades).join(leg_points(fixflows), TRADE_KEY))
+    return found.select("NB", _value_date(), *found.columns[2:])
+
+
 # --- both, per trade and date ------------------------------------------------
 
 
 def schedules(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP) -> DataFrame:
-    """Notional list and frequencies per (trade, date) that a trade row needs.
+    """Notional list and frequencies per (trade, day), where there are any.
 
     All joins in here are between narrow rows; the wide trades then need one
     join for both results.
     """
+    copies, points = trade_copies(trades).alias("c"), leg_points(fixflows).alias("p")
+    same_trade = (F.col("c.NB") == F.col("p.NB")) & (F.col("c.DAY") == F.col("p.DAY"))
+    all_trades = copies.join(points, same_trade & (F.col("STEP_COPIES") > 0), "left").select(
+        "c.*", "DT_LEG0", "OPENING", "START", "TWINS"
+    )
     return (
-        trade_copies(trades)
-        .select("NB", "THD_VALUE_DATE")
-        .join(frequencies(trades, fixflows), ["NB", "THD_VALUE_DATE"], "left")
+        _leg_frequencies(all_trades)
         .join(notionals(trades, fixflows, cap=cap), "NB", "left")
         .where(F.coalesce("QTY_FREQUENCY_LEG_1", "QTY_FREQUENCY_LEG_2", "CONCAT_CAPREM0").isNotNull())
     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradescribe import constants as K
 from tradescribe.operators import classify, clearing, events, options, packages, parties, units
 from tradescribe.operators.counterparty import attach_match, match_table, with_match_keys
-from tradescribe.operators.schedule import schedules
+from tradescribe.operators.schedule import TRADE_KEY, schedules, with_day
 from tradescribe.operators.trades import base_trades
 from tradescribe.sources.schemas import REPORT_COLUMNS
 
@@ -119,17 +119,15 @@ def report(
     base = base_trades(trades, as_of=as_of, allow_list=allow_list)
     extra = extra or {}
     early = {**trade_fields(), **extra}
-    keys = ["NB", "THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE"]
-    travelling = with_match_keys(classified(base)).select(
+    keys = [*TRADE_KEY, "THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE"]
+    travelling = with_day(with_match_keys(classified(base))).select(
         *keys, *parties.PARTY_INPUTS, *[value.alias(name) for name, value in early.items()]
     )
     late = party_fields(own_lei)
     with_parties = attach_match(travelling, match_table(base, counterparties)).select(
-        "NB", "THD_VALUE_DATE", *early, *[value.alias(name) for name, value in late.items()]
+        *TRADE_KEY, *early, *[value.alias(name) for name, value in late.items()]
     )
-    complete = with_parties.join(
-        schedules(base, fixflows, cap=list_cap), ["NB", "THD_VALUE_DATE"], "left"
-    ).withColumns(
+    complete = with_parties.join(schedules(base, fixflows, cap=list_cap), TRADE_KEY, "left").withColumns(
         {
             **constant_fields(own_lei),
             "NOTI_AMOUNT_IE_ON_ASSOC_EFF_DATE_LEG_1": F.col("CONCAT_CAPREM0"),

@@ -11,6 +11,10 @@ RUNTIME_CONF = {
     # Splits the trades of one counterparty, or the flows of one trade, over
     # several join tasks.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The just-in-time compiler skips methods above 8,000 bytes of bytecode.  The
+    # report's projections fuse into larger ones; without fusion they are split
+    # into small methods and run twice as fast.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # The notional list keeps about 2,000 elements per trade; above this
     # limit the rank filter would run only after the shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "50000",
@@ -30,6 +34,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tradescribe")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        # Call sites for error messages double the time to build a large plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")

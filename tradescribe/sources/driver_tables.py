@@ -184,6 +184,9 @@ def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = F.expr(f"sequence(DATE '{FIRST_VALUE_DATE}', DATE '{LAST_VALUE_DATE}', INTERVAL 1 MONTH)")
     rows = (
         _table(spark, sf_dir, "customer")
+        .select("c_custkey", "c_name")
+        # Each customer becomes up to 160 rows: spread them over all cores first.
+        .repartition(spark.sparkContext.defaultParallelism, "c_custkey")
         .select("c_custkey", "c_name", F.explode(dates).alias("vd"))
         .where(F.pmod(c + F.month("vd"), F.lit(5)) != 0)
         .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
