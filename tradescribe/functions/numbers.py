@@ -2,7 +2,8 @@
 
 A decimal's own text form can be scientific (``0E-12``), depending on the
 session, so digits are taken from the integer part and from ``1 + fraction``,
-whose text forms never are.
+whose text forms never are.  Changing the sign of a decimal of more than 34
+digits rounds it, so the sign is taken off the text instead.
 """
 
 from __future__ import annotations
@@ -14,12 +15,13 @@ from tradescribe import constants as K
 
 def _parts(number: Column) -> tuple[Column, Column, Column]:
     """Sign, integer digits (empty for zero) and the 12 decimals, all text."""
-    size = F.abs(number)
-    whole = F.floor(size).cast("decimal(38,0)")
-    rest = (size % F.lit(1)).cast("decimal(13,12)")
-    sign = F.when(number < 0, "-").otherwise("")
-    digits = F.when(whole == 0, "").otherwise(whole.cast("string"))
-    decimals = F.substring((rest + F.lit(1)).cast("decimal(13,12)").cast("string"), 3, K.AMOUNT_DECIMALS)
+    negative = number < 0
+    whole = F.when(negative, F.ceil(number)).otherwise(F.floor(number)).cast("decimal(38,0)")
+    rest = (number % F.lit(1)).cast("decimal(13,12)")
+    beyond_one = F.when(negative, F.lit(1) - rest).otherwise(F.lit(1) + rest).cast("decimal(13,12)")
+    sign = F.when(negative, "-").otherwise("")
+    digits = F.when(whole == 0, "").otherwise(F.translate(whole.cast("string"), "-", ""))
+    decimals = F.substring(beyond_one.cast("string"), 3, K.AMOUNT_DECIMALS)
     return sign, digits, decimals
 
 
