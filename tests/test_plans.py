@@ -182,10 +182,18 @@ def test_report_is_the_same_when_split(spark, stored):
     assert split_joins(spark, lambda: report(*stored))
 
 
-def test_rows_of_one_trade_number_are_sorted_by_several_tasks(spark, stored):
+def test_copies_of_one_trade_are_sorted_in_pieces(spark, stored):
+    """Rows of one number that are all equal still reach several tasks."""
+    from tradescribe.functions import rows
+
     trades, counterparties, fixflows = stored
-    copies = trades.withColumn("NB", F.lit("1"))
-    with conf(spark, spark__sql__adaptive__enabled="false"):
-        result = buyers(copies, counterparties, fixflows)
-        tasks = result.groupBy(F.spark_partition_id()).count().count()
-    assert tasks > 1
+    copies = trades.withColumns({"NB": F.lit("1"), "TRN_FMLY": F.lit("COM"), "TRN_GRP": F.lit("SWAP")})
+    piece, rows.PIECE = rows.PIECE, 100
+    try:
+        with conf(spark, spark__sql__adaptive__enabled="false"):
+            result = buyers(copies, counterparties, fixflows)
+            per_task = [row["count"] for row in result.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        rows.PIECE = piece
+    assert sum(per_task) == trades.count()
+    assert len(per_task) > 1 and max(per_task) < sum(per_task) / 2

@@ -104,21 +104,18 @@ def report(
     allow_list: DataFrame | None = None,
     own_lei: str = K.OWN_LEI,
     list_cap: int = K.LIST_CAP,
-    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Report on ``trades``; any DataFrame with the trade columns will do.
 
     ``as_of`` and ``allow_list`` restrict the trades (see ``base_trades``).
     All lookups share the trade's value date, so ``as_of`` restricts the other
-    two tables to the same date.  ``extra`` adds trade expressions behind the
-    report columns.
+    two tables to the same date.
     """
     if as_of is not None:
         counterparties = counterparties.where(F.col("RPY_VALUE_DATE") == F.lit(as_of))
         fixflows = fixflows.where(F.col("FFL_VALUE_DATE") == F.lit(as_of))
     base = base_trades(trades, as_of=as_of, allow_list=allow_list)
-    extra = extra or {}
-    early = {**trade_fields(), **extra}
+    early = trade_fields()
     keys = [*TRADE_KEY, "THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE"]
     travelling = with_day(with_match_keys(classified(base))).select(
         *keys, *parties.PARTY_INPUTS, *[value.alias(name) for name, value in early.items()]
@@ -133,7 +130,7 @@ def report(
             "NOTI_AMOUNT_IE_ON_ASSOC_EFF_DATE_LEG_1": F.col("CONCAT_CAPREM0"),
         }
     )
-    return complete.select(*REPORT_COLUMNS, *extra)
+    return complete.select(*REPORT_COLUMNS)
 
 
 def publish(

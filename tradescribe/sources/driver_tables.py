@@ -7,7 +7,7 @@ can derive the same tables.  ``k`` is the order key and ``q`` its quotient by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tradescribe.sources.schemas import COUNTERPARTIES, FIXFLOWS, TRADES
 
@@ -47,32 +47,41 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cycle(number: Column, *values: str | None) -> Column:
+def _literal(value: str | None) -> str:
+    return "NULL" if value is None else f"'{value}'"
+
+
+def _cycle(number: str, *values: str | None) -> str:
     """Value listed for the remainder of ``number`` by the list's length."""
-    listed = F.array(*[F.lit(value).cast("string") for value in values])
-    return F.get(listed, F.pmod(number, F.lit(len(values))).cast("int"))
+    listed = ", ".join(_literal(value) for value in values)
+    return f"get(array({listed}), int(pmod({number}, {len(values)})))"
+
 
+def _at(number: str, modulus: int, values: dict[int, str], otherwise: str = "NULL") -> str:
+    """Expression given for some remainders, another for the rest."""
+    cases = " ".join(f"WHEN {remainder} THEN {value}" for remainder, value in values.items())
+    return f"CASE pmod({number}, {modulus}) {cases} ELSE {otherwise} END"
 
-def _at(number: Column, modulus: int, values: dict[int, object]) -> Column:
-    """Value for some remainders, NULL for the others."""
-    chosen = F.lit(None)
-    for remainder, value in values.items():
-        chosen = F.when(F.pmod(number, F.lit(modulus)) == remainder, value).otherwise(chosen)
-    return chosen
 
+def _texts(*values: str) -> dict[int, str]:
+    return {remainder: _literal(value) for remainder, value in enumerate(values)}
 
-def _month_of(moment: str) -> Column:
-    return F.trunc(F.col(moment).cast("date"), "month")
 
+def _money(amount: str) -> str:
+    return f"CAST({amount} AS DECIMAL(20,2))"
 
-def _money(amount: str) -> Column:
-    return F.col(amount).cast("decimal(20,2)")
+
+def _select(rows: DataFrame, schema: T.StructType, values: dict[str, str]) -> DataFrame:
+    """The schema's columns by expression; those without one are NULL."""
+    return rows.selectExpr(
+        *[f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    )
 
 
 def _products(spark: SparkSession) -> DataFrame:
     """24 rows, whatever the scale."""
     rows = [
-        [str(i), *[f"'{cell}'" if cell != "-" else "NULL" for cell in line.split()]]
+        [str(i), *[_literal(None if cell == "-" else cell) for cell in line.split()]]
         for i, line in enumerate(PRODUCTS.strip().splitlines())
     ]
     values = ", ".join(f"({', '.join(row)})" for row in rows)
@@ -82,172 +91,156 @@ def _products(spark: SparkSession) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, q = F.col("o_orderkey"), F.col("q")
-    orders = _table(spark, sf_dir, "orders").withColumns(
-        {
-            "q": F.expr("o_orderkey div 24"),
-            "product_id": F.pmod(k, F.lit(24)).cast("int"),
-            "day": F.col("o_orderdate").cast("date"),
-        }
+    orders = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k",
+        "o_orderkey div 24 AS q",
+        "int(pmod(o_orderkey, 24)) AS product_id",
+        "o_custkey",
+        "o_orderdate",
+        "date(o_orderdate) AS day",
+        f"{_money('o_totalprice')} AS price",
     )
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     rows = orders.join(F.broadcast(_products(spark)), "product_id").join(
         customers, F.col("o_custkey") == F.col("c_custkey")
     )
-    name, day = F.col("c_name"), F.col("day")
-    last = F.add_months(day, F.pmod(q, F.lit(20)).cast("int") * 12)
+    last = "add_months(day, int(12 * pmod(q, 20)))"
+    package_types = ["Price", "Spread", "IR Rebate Swap", "IR Floored Rate", "FX Dual Ccy Capped", "IR Capped Rate"]
+    typologies = ["Contingent leg", "SUST LINK DERIV", "x CANCELLABLE", "Bespoke CDS", "INVSMT ALLOC METHD", "  "]
+    notes = [
+        "met x",
+        "OET",
+        "Extendible",
+        "OffsetClause",
+        "mandatory early termination",
+        "optional early termination",
+    ]
     values = {
-        "NB": k.cast("string"),
-        "THD_VALUE_DATE": _month_of("o_orderdate"),
-        "HS_CNTRP": F.when(F.pmod(k, F.lit(7)) > 1, name).when(F.pmod(k, F.lit(7)) == 1, F.concat(F.lit("XX"), k)),
-        "D_CTP_ENT": F.when(F.pmod(k, F.lit(11)) != 0, name),
-        "H_INT": _cycle(k, "Y", "Y", "Y", "N", None),
-        "H_BS": _cycle(q, "B", "B", "S", "S", None),
-        "H_DVCS": F.rpad(_cycle(q, "C", "D", "Z", None), 50, " "),
-        "H_PUTCALL": _cycle(q, "C", "P", None),
-        "H_TP_AE": _cycle(q, "D", "D", "D", "E", "E", "E", None),
-        "TP_OBAR1": _cycle(q, "0", "0", "1.5", "1.5", None),
-        "TP_IQTY": F.when(F.pmod(q, F.lit(11)) == 0, F.lit("0.5").cast("decimal(20,2)"))
-        .when(F.pmod(q, F.lit(11)) == 1, F.lit("-0.25").cast("decimal(20,2)"))
-        .otherwise(_money("o_totalprice")),
-        "TP_QTYEQ": _money("o_totalprice") + F.lit("1.005").cast("decimal(4,3)"),
-        "TP_FXSTNUM": F.when(F.pmod(q, F.lit(9)) < 3, "CNH").otherwise("USD"),
-        "TP_FXSTDEN": _cycle(q, "CAD", "CNH"),
-        "M_CFI": _cycle(q, "SRACSC", "SRACSP ", "SRACSE", "   ", "", "SRACSX", None),
-        "C_CUR_PL": _cycle(q, "USD", "CAD", None),
-        "TP_RTCUR0": _cycle(q, "USD", None),
-        "M_TP_MSTRUCT": F.when(F.pmod(q, F.lit(9)) == 0, "XBRSX").otherwise("STD"),
-        "M_TP_CRISDA": _cycle(q, "Cash", "Delivery", "Cash or delivery", "Auction", None),
-        "M_BASKET_IND": _cycle(q, "Y", "N", None),
-        "M_PKG_TYP_R": _cycle(
-            q, "Price", "Spread", "IR Rebate Swap", "IR Floored Rate", "FX Dual Ccy Capped", "IR Capped Rate", "  ", None
-        ),
-        "M_PKG_CURR_R": F.lit("USD"),
-        "M_PKG_VAL_R": F.concat(F.pmod(q, F.lit(100)), F.lit(".25")),
-        "M_PKG_NOTA_R": _cycle(q, "Monetory Amount", "Decimal", "Basis points", "Other", None),
-        "H_PKG_LOG_ID": _at(q, 7, {0: F.concat(F.lit("PKG"), q), 1: "  ", 2: "0"}),
-        "PACKAGE": _at(q, 5, {0: q + 1, 1: F.lit(0)}),
-        "CNT_TYPO": _at(
-            q,
-            11,
-            {0: "Contingent leg", 1: "SUST LINK DERIV", 2: "x CANCELLABLE", 3: "Bespoke CDS", 4: "INVSMT ALLOC METHD", 5: "  "},
-        ),
-        "PKG_CLASS": _cycle(q, "internal", "single", None),
-        "M_BUSINE_EVT": _cycle(q, "Exercise", None),
-        "CONTRACT_NUMBER": k * 10,
-        "HS_EXEC_TIME": F.col("o_orderdate"),
-        "M_COMPRES_ID": F.concat(F.lit("CMP"), k),
-        "M_VAL_METHOD": _cycle(q, "MTM", None),
-        "M_HS_PCK_DSC": _at(
-            q,
-            13,
-            {
-                0: "met x",
-                1: "OET",
-                2: "Extendible",
-                3: "OffsetClause",
-                4: "mandatory early termination",
-                5: "optional early termination",
-            },
-        ),
-        "U_OPTTYPE": _at(q, 17, {0: "extendible"}),
-        "M_CCP_NAME": F.when(F.pmod(q, F.lit(7)) >= 4, "CCP"),
-        "M_AUTO_CLR": _at(q, 5, {0: "true", 1: "N"}),
-        "M_CLEAR_STS": _cycle(q, "Registered", " ", None),
-        "HS_REPROLCSA": F.when(F.pmod(q, F.lit(5)) < 4, "Y"),
-        "HS_REPROLCFTC": _cycle(q, "Y", "N", None),
-        "HS_MUTUALP": _at(q, 19, {0: "Mandatory", 1: " optional "}),
-        "TP_CANCBY": _at(q, 23, {0: "CPTY"}),
-        "M_SCHEDULE": F.when(F.pmod(q, F.lit(4)) < 3, "C").otherwise("M"),
-        "M_MARGIN_IND": _at(q, 8, {0: "affiliate"}),
-        "HS_MAT_LAB": F.concat(F.pmod(q, F.lit(30)), F.lit("Y")),
-        "H_DTETRN": day,
+        "NB": "k",
+        "THD_VALUE_DATE": "trunc(day, 'month')",
+        "HS_CNTRP": _at("k", 7, {0: "NULL", 1: "concat('XX', k)"}, "c_name"),
+        "D_CTP_ENT": _at("k", 11, {0: "NULL"}, "c_name"),
+        "H_INT": _cycle("k", "Y", "Y", "Y", "N", None),
+        "H_BS": _cycle("q", "B", "B", "S", "S", None),
+        "H_DVCS": f"rpad({_cycle('q', 'C', 'D', 'Z', None)}, 50, ' ')",
+        "H_PUTCALL": _cycle("q", "C", "P", None),
+        "H_TP_AE": _cycle("q", "D", "D", "D", "E", "E", "E", None),
+        "TP_OBAR1": _cycle("q", "0", "0", "1.5", "1.5", None),
+        "TP_IQTY": _at("q", 11, {0: "0.5BD", 1: "-0.25BD"}, "price"),
+        "TP_QTYEQ": "price + 1.005BD",
+        "TP_FXSTNUM": _at("q", 9, {0: "'CNH'", 1: "'CNH'", 2: "'CNH'"}, "'USD'"),
+        "TP_FXSTDEN": _cycle("q", "CAD", "CNH"),
+        "M_CFI": _cycle("q", "SRACSC", "SRACSP ", "SRACSE", "   ", "", "SRACSX", None),
+        "C_CUR_PL": _cycle("q", "USD", "CAD", None),
+        "TP_RTCUR0": _cycle("q", "USD", None),
+        "M_TP_MSTRUCT": _at("q", 9, {0: "'XBRSX'"}, "'STD'"),
+        "M_TP_CRISDA": _cycle("q", "Cash", "Delivery", "Cash or delivery", "Auction", None),
+        "M_BASKET_IND": _cycle("q", "Y", "N", None),
+        "M_PKG_TYP_R": _cycle("q", *package_types, "  ", None),
+        "M_PKG_CURR_R": "'USD'",
+        "M_PKG_VAL_R": "concat(pmod(q, 100), '.25')",
+        "M_PKG_NOTA_R": _cycle("q", "Monetory Amount", "Decimal", "Basis points", "Other", None),
+        "H_PKG_LOG_ID": _at("q", 7, {0: "concat('PKG', q)", 1: "'  '", 2: "'0'"}),
+        "PACKAGE": _at("q", 5, {0: "q + 1", 1: "0"}),
+        "CNT_TYPO": _at("q", 11, _texts(*typologies)),
+        "PKG_CLASS": _cycle("q", "internal", "single", None),
+        "M_BUSINE_EVT": _cycle("q", "Exercise", None),
+        "CONTRACT_NUMBER": "k * 10",
+        "HS_EXEC_TIME": "o_orderdate",
+        "M_COMPRES_ID": "concat('CMP', k)",
+        "M_VAL_METHOD": _cycle("q", "MTM", None),
+        "M_HS_PCK_DSC": _at("q", 13, _texts(*notes)),
+        "U_OPTTYPE": _at("q", 17, {0: "'extendible'"}),
+        "M_CCP_NAME": "CASE WHEN pmod(q, 7) >= 4 THEN 'CCP' END",
+        "M_AUTO_CLR": _at("q", 5, _texts("true", "N")),
+        "M_CLEAR_STS": _cycle("q", "Registered", " ", None),
+        "HS_REPROLCSA": _at("q", 5, {4: "NULL"}, "'Y'"),
+        "HS_REPROLCFTC": _cycle("q", "Y", "N", None),
+        "HS_MUTUALP": _at("q", 19, _texts("Mandatory", " optional ")),
+        "TP_CANCBY": _at("q", 23, {0: "'CPTY'"}),
+        "M_SCHEDULE": _at("q", 4, {3: "'M'"}, "'C'"),
+        "M_MARGIN_IND": _at("q", 8, {0: "'affiliate'"}),
+        "HS_MAT_LAB": "concat(pmod(q, 30), 'Y')",
+        "H_DTETRN": "day",
         "H_DTELST": last,
-        "H_UNADJST0": F.when(F.pmod(q, F.lit(2)) == 1, F.date_add(day, 2)),
-        "H_UNADJMAT": F.when(F.pmod(q, F.lit(3)) > 0, F.date_add(last, 1)),
-        "TP_RTNBLEG": F.pmod(q, F.lit(2)),
-        "DEAL_LEG": F.pmod(q, F.lit(3)),
-        "H_IPAY": _cycle(q, "0", "-1.5", "2.5", None),
-        "TP_RTCCP02": _cycle(q, "0", "1", "-1"),
-        "TP_LENTDSP": _cycle(q, "LE_NBCGFLTD", "OTHER"),
+        "H_UNADJST0": _at("q", 2, {1: "date_add(day, 2)"}),
+        "H_UNADJMAT": _at("q", 3, {0: "NULL"}, f"date_add({last}, 1)"),
+        "TP_RTNBLEG": "pmod(q, 2)",
+        "DEAL_LEG": "pmod(q, 3)",
+        "H_IPAY": _cycle("q", "0", "-1.5", "2.5", None),
+        "TP_RTCCP02": _cycle("q", "0", "1", "-1"),
+        "TP_LENTDSP": _cycle("q", "LE_NBCGFLTD", "OTHER"),
     }
-    from_product = {"TRN_FMLY", "TRN_GRP", "TRN_TYPE", "H_PRODUCT", "HS_UPI"}
-
-    def column(name: str) -> Column:
-        return F.col(name) if name in from_product else values.get(name, F.lit(None))
-
-    return rows.select(*[column(field.name).cast(field.dataType).alias(field.name) for field in TRADES])
+    from_product = ["TRN_FMLY", "TRN_GRP", "TRN_TYPE", "H_PRODUCT", "HS_UPI"]
+    return _select(rows, TRADES, values | dict(zip(from_product, from_product)))
 
 
 def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c, v = F.col("c_custkey"), F.col("v")
-    dates = F.expr(f"sequence(DATE '{FIRST_VALUE_DATE}', DATE '{LAST_VALUE_DATE}', INTERVAL 1 MONTH)")
+    dates = f"sequence(DATE '{FIRST_VALUE_DATE}', DATE '{LAST_VALUE_DATE}', INTERVAL 1 MONTH)"
     rows = (
         _table(spark, sf_dir, "customer")
-        .select("c_custkey", "c_name")
+        .selectExpr("c_custkey AS c", "c_name")
         # Each customer becomes up to 160 rows: spread them over all cores first.
-        .repartition(spark.sparkContext.defaultParallelism, "c_custkey")
-        .select("c_custkey", "c_name", F.explode(dates).alias("vd"))
-        .where(F.pmod(c + F.month("vd"), F.lit(5)) != 0)
-        .select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("v"))
+        .repartition(spark.sparkContext.defaultParallelism, "c")
+        .selectExpr("*", f"explode({dates}) AS vd")
+        .where("pmod(c + month(vd), 5) <> 0")
+        .selectExpr("*", "explode(array(0, 1)) AS v")
     )
-    created = F.col("vd").cast("timestamp_ntz") + F.make_dt_interval(hours=v)
     values = {
-        "MUREX_COUNTERPART": F.col("c_name"),
-        "RPY_VALUE_DATE": F.col("vd"),
-        "AGENT_ID": F.when(F.pmod(c, F.lit(13)) != 5, F.concat(F.lit("AG"), c, F.lit("-"), v)),
-        "NAME": F.when(F.pmod(c, F.lit(6)) != 0, F.concat(F.lit("Name "), c)),
-        "LEI": F.when(F.pmod(c, F.lit(4)) != 0, F.concat(F.lit("LEI"), F.lpad(c.cast("string"), 17, "0"))),
-        "SYS_CREAT_DTMS": F.when(F.pmod(c, F.lit(17)) != 0, created),
-        "CPTY_ID_SOURCE_PRIV_LAW_IDENT": _cycle(c, "Y", "N", None),
-        "CPTY_ID_SOURCE_NAT_PERS_IND": _cycle(c, "Y", None),
-        "FINANCIAL_ENTITY": _cycle(c, "Y", "N", None),
-        "FED_ENTITY_INDICATOR": _at(c, 5, {0: "Y", 1: "N"}),
-        "CLR_EX_END_USER_EXCEPTION": F.when(F.pmod(c, F.lit(7)) == 0, "Y").otherwise("N"),
-        "CLR_EX_SMALL_BK_EXEMPTION": F.when(F.pmod(c, F.lit(7)) == 1, "Y").otherwise("N"),
-        "CLR_EX_COOP_EXEMPTION": F.when(F.pmod(c, F.lit(7)) == 2, "Y").otherwise("N"),
-        "CLR_EX_NO_ACT_LETTER": F.when(F.pmod(c, F.lit(7)) == 3, "Y").otherwise("N"),
-        "CLR_EX_OTHER_EXCEPTIONS": F.when(F.pmod(c, F.lit(7)) == 4, "Y").otherwise("N"),
-        "CLEARING_THRESHOLD_EXEEDED": _cycle(c, "Y", "N", None),
-        "CANADIAN_DERIVATIVE_STATUS": _cycle(c, "Y", "N", None, "Y"),
-        "CANADA": _cycle(c, "Y", "N", None, "Y", "N"),
+        "MUREX_COUNTERPART": "c_name",
+        "RPY_VALUE_DATE": "vd",
+        "AGENT_ID": _at("c", 13, {5: "NULL"}, "concat('AG', c, '-', v)"),
+        "NAME": _at("c", 6, {0: "NULL"}, "concat('Name ', c)"),
+        "LEI": _at("c", 4, {0: "NULL"}, "concat('LEI', lpad(string(c), 17, '0'))"),
+        "SYS_CREAT_DTMS": _at("c", 17, {0: "NULL"}, "CAST(vd AS TIMESTAMP_NTZ) + make_dt_interval(0, v)"),
+        "CPTY_ID_SOURCE_PRIV_LAW_IDENT": _cycle("c", "Y", "N", None),
+        "CPTY_ID_SOURCE_NAT_PERS_IND": _cycle("c", "Y", None),
+        "FINANCIAL_ENTITY": _cycle("c", "Y", "N", None),
+        "FED_ENTITY_INDICATOR": _at("c", 5, _texts("Y", "N")),
+        "CLR_EX_END_USER_EXCEPTION": _at("c", 7, {0: "'Y'"}, "'N'"),
+        "CLR_EX_SMALL_BK_EXEMPTION": _at("c", 7, {1: "'Y'"}, "'N'"),
+        "CLR_EX_COOP_EXEMPTION": _at("c", 7, {2: "'Y'"}, "'N'"),
+        "CLR_EX_NO_ACT_LETTER": _at("c", 7, {3: "'Y'"}, "'N'"),
+        "CLR_EX_OTHER_EXCEPTIONS": _at("c", 7, {4: "'Y'"}, "'N'"),
+        "CLEARING_THRESHOLD_EXEEDED": _cycle("c", "Y", "N", None),
+        "CANADIAN_DERIVATIVE_STATUS": _cycle("c", "Y", "N", None, "Y"),
+        "CANADA": _cycle("c", "Y", "N", None, "Y", "N"),
     }
-    return rows.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in COUNTERPARTIES])
+    return _select(rows, COUNTERPARTIES, values)
 
 
 def fixflows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, s, vd, step = F.col("l_orderkey"), F.col("s"), F.col("vd"), F.col("LEGSTEP")
-    numbered = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"
+    orders = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS k", "trunc(date(o_orderdate), 'month') AS vd"
     )
-    orders = _table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), _month_of("o_orderdate").alias("vd")
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "*",
+        "l_orderkey AS k",
+        "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate,"
+        " l_extendedprice) AS s",
     )
-    rows = (
-        _table(spark, sf_dir, "lineitem")
-        .withColumn("s", F.row_number().over(numbered))
-        .join(orders, "l_orderkey")
-        .withColumn("LEGSTEP", 1 + F.floor((s - 1) / 2).cast("int") * F.when(F.pmod(k, F.lit(9)) == 0, 5).otherwise(1))
+    rows = lines.join(orders, "k").selectExpr(
+        "*", "1 + int((s - 1) div 2) * IF(pmod(k, 9) = 0, 5, 1) AS step", "date(l_shipdate) AS shipped"
     )
-    in_months = F.add_months(vd, step)
+    in_months = "add_months(vd, step)"
     starts = {
-        0: F.date_add(vd, step),
+        0: "date_add(vd, step)",
         1: in_months,
-        2: F.date_add(vd, step * 91),
-        3: F.col("l_shipdate").cast("date"),
-        4: F.when(F.pmod(step, F.lit(2)) == 1, in_months),
+        2: "date_add(vd, 91 * step)",
+        3: "shipped",
+        4: _at("step", 2, {1: in_months}),
     }
     values = {
-        "NB": k,
-        "FFL_VALUE_DATE": F.when(F.pmod(s, F.lit(10)) == 0, F.date_add(vd, 1)).otherwise(vd),
-        "LEGSTEP": step,
-        "DT_LEG0": F.pmod(s - 1, F.lit(2)),
-        "DATE2": _at(k, 5, starts),
-        "DATE4": F.add_months(vd, (F.col("l_quantity") * 2).cast("int")),
-        "DT_CAPREM0": F.when(F.pmod(s, F.lit(6)) != 0, _money("l_extendedprice")),
-        "FIXVAR": F.when(F.col("l_returnflag") == "R", "F2").otherwise("F1"),
-        "FIXVAR1": F.when(F.col("l_linestatus") == "O", "F").otherwise("V"),
-        "AMORTFLAG": F.when(F.pmod("l_suppkey", F.lit(4)) != 0, "Y").otherwise("N"),
-        "EQDSIDE": F.when(F.pmod("l_suppkey", F.lit(10)) != 0, "N").otherwise("Y"),
+        "NB": "k",
+        "FFL_VALUE_DATE": _at("s", 10, {0: "date_add(vd, 1)"}, "vd"),
+        "LEGSTEP": "step",
+        "DT_LEG0": "pmod(s - 1, 2)",
+        "DATE2": _at("k", 5, starts),
+        "DATE4": "add_months(vd, int(2 * l_quantity))",
+        "DT_CAPREM0": _at("s", 6, {0: "NULL"}, _money("l_extendedprice")),
+        "FIXVAR": "IF(l_returnflag = 'R', 'F2', 'F1')",
+        "FIXVAR1": "IF(l_linestatus = 'O', 'F', 'V')",
+        "AMORTFLAG": _at("l_suppkey", 4, {0: "'N'"}, "'Y'"),
+        "EQDSIDE": _at("l_suppkey", 10, {0: "'Y'"}, "'N'"),
     }
-    return rows.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in FIXFLOWS])
+    return _select(rows, FIXFLOWS, values)

@@ -14,13 +14,15 @@ from tradescribe.sources import schemas as S
 
 
 def _conform(df: DataFrame, schema: T.StructType, padded: tuple[str, ...] = ()) -> DataFrame:
+    found = {field.name: field.dataType for field in df.schema}
+
     def column(field: T.StructField) -> Column:
-        value = F.col(field.name).cast(field.dataType)
+        value = F.col(field.name)
+        if found.get(field.name) != field.dataType:
+            value = value.cast(field.dataType)
         if field.name in padded:
             value = F.rtrim(value)
-        if field.dataType == S.TEXT:
-            value = empty_to_null(value)
-        return value.alias(field.name)
+        return empty_to_null(value).alias(field.name) if field.dataType == S.TEXT else value.alias(field.name)
 
     return df.select(*[column(field) for field in schema])
 
