@@ -178,6 +178,20 @@ def test_hot_trade_is_split_over_flows(spark, stored):
     assert split_joins(spark, lambda: notionals(base_trades(trades), T.normal_fixflows(fixflows)))
 
 
+def test_copies_of_one_trade_are_split(spark, stored):
+    """A third of all rows are one trade on one day: the schedule join is cut too."""
+    trades, counterparties, fixflows = stored
+    third = F.pmod(F.xxhash64("NB"), F.lit(3)) == 1
+    copies = trades.withColumns(
+        {
+            "NB": F.when(third, HOT_TRADE).otherwise(F.col("NB")),
+            "THD_VALUE_DATE": F.when(third, F.lit(HOT_DAY).cast("date")).otherwise(F.col("THD_VALUE_DATE")),
+        }
+    )
+    fields = ["NB", "EVENT_IDENTIFIER", "QTY_FREQUENCY_LEG_1", "QTY_FREQ_MULT_LEG_1"]
+    assert split_joins(spark, lambda: report(copies, counterparties, fixflows).select(*fields))
+
+
 def test_report_is_the_same_when_split(spark, stored):
     assert split_joins(spark, lambda: report(*stored))
 

@@ -57,7 +57,7 @@ def relevant_counterparties(trades: DataFrame, counterparties: DataFrame) -> Dat
     execution could not split a counterparty with very many versions.
     """
     versions = normal_counterparties(counterparties)
-    keys = relevant_keys(trades).alias("k")
+    keys = relevant_keys(trades).hint("merge").alias("k")
     same_key = (F.col("c.RPY_VALUE_DATE") == F.col("k.RPY_VALUE_DATE")) & F.col(
         "c.MUREX_COUNTERPART"
     ).eqNullSafe(F.col("k.MUREX_COUNTERPART"))
@@ -101,6 +101,9 @@ def match_table(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
     A combination that lacks the code of a lookup is hashed by its other code,
     so that such combinations spread over all tasks; the extra condition keeps
     them from matching.
+
+    The versions are merged, never broadcast: how many there are is not known
+    from the size of the files they were derived from.
     """
     combos = (
         with_match_keys(trades)
@@ -109,7 +112,7 @@ def match_table(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
         .select("THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE")
         .distinct()
     )
-    latest = latest_versions(counterparties)
+    latest = latest_versions(counterparties).hint("merge")
     has_primary = F.col("PRIMARY_CODE") != NO_CODE
     has_fallback = F.col("FALLBACK_CODE") != NO_CODE
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tradescribe.functions.numbers import amount_text
 from tradescribe.functions.rules import first_match
 from tradescribe.operators.deals import deal, trade_type
 
@@ -43,17 +42,17 @@ def put_side(of_put: Column, of_call: Column) -> Column:
     return F.when(deal("CURR", "OPT") & reported, by_kind)
 
 
-def call_amount() -> Column:
-    return amount_text(call_side(F.col("TP_IQTY"), F.col("TP_QTYEQ")))
+def call_value() -> Column:
+    return call_side(F.col("TP_IQTY"), F.col("TP_QTYEQ"))
 
 
-def put_amount() -> Column:
-    return amount_text(put_side(F.col("TP_IQTY"), F.col("TP_QTYEQ")))
+def put_value() -> Column:
+    return put_side(F.col("TP_IQTY"), F.col("TP_QTYEQ"))
 
 
 def call_currency() -> Column:
-    return official_currency(call_side(F.col("TP_FXSTNUM"), F.col("TP_FXSTDEN")))
+    return call_side(official_currency(F.col("TP_FXSTNUM")), official_currency(F.col("TP_FXSTDEN")))
 
 
 def put_currency() -> Column:
-    return official_currency(put_side(F.col("TP_FXSTNUM"), F.col("TP_FXSTDEN")))
+    return put_side(official_currency(F.col("TP_FXSTNUM")), official_currency(F.col("TP_FXSTDEN")))

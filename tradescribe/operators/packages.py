@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from tradescribe.functions.numbers import number_text
 from tradescribe.functions.rules import first_match, lookup
 from tradescribe.operators.deals import product
 
@@ -29,12 +28,13 @@ def _notation(kind: str, codes: dict[str, str], otherwise: str | None) -> Column
 
 
 def package_id() -> Column:
-    contract = number_text(F.col("CONTRACT_NUMBER"))
+    """Identifier of the package; numbers are whole, so their plain text is minimal."""
+    contract = F.col("CONTRACT_NUMBER").cast("string")
     source = first_match(
         [
             (product("CURR_FXD_SWLEG"), contract),
             (F.col("H_PKG_LOG_ID") != "0", F.col("H_PKG_LOG_ID")),
-            (F.col("PACKAGE") != 0, number_text(F.col("PACKAGE"))),
+            (F.col("PACKAGE") != 0, F.col("PACKAGE").cast("string")),
             (_quoted_as("FX Dual Ccy Capped"), contract),
         ]
     )

@@ -40,7 +40,12 @@ def _value_date() -> Column:
 
 
 def trade_copies(trades: DataFrame) -> DataFrame:
-    """Row count per (trade, day): all rows, and those whose steps count."""
+    """Row count per (trade, day): all rows, and those whose steps count.
+
+    Joins with it are merged, never broadcast.  It can have as many rows as
+    there are trades, and the estimated size of three well-compressed columns
+    says little about that.
+    """
     return (
         with_day(trades)
         .where(F.col("NB").isNotNull())
@@ -49,6 +54,7 @@ def trade_copies(trades: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("COPIES"),
             F.count_if(F.col("TRN_GRP") != "RTRN").alias("STEP_COPIES"),
         )
+        .hint("merge")
     )
 
 
@@ -223,47 +229,54 @@ def leg_points(fixflows: DataFrame) -> DataFrame:
     )
 
 
-def _leg_frequencies(points: DataFrame) -> DataFrame:
-    """Frequency and multiplier of both legs, from points with their copies.
+def flow_frequencies(fixflows: DataFrame) -> DataFrame:
+    """Frequency code of both legs per (trade, day) of the flows.
 
-    Twins need no rows of their own.  A twin shows a gap of no days, that is
-    the lowest frequency, which never beats the one of its group; but it does
-    set the multiplier.
+    A leg is regular if its frequency has a multiplier.  Twins need no rows of
+    their own.  A twin shows a gap of no days, that is the lowest frequency,
+    which never beats the one of its group; but it does make the leg regular.
     """
     # One window over both legs needs the same partitioning as the grouping
     # below, and so costs no shuffle.
     leg_order = Window.partitionBy(*TRADE_KEY).orderBy("DT_LEG0", F.asc_nulls_last("OPENING"))
     same_leg = F.lead("DT_LEG0").over(leg_order).eqNullSafe(F.col("DT_LEG0"))
+    is_opening = F.col("OPENING").isNotNull()
     judged = (
-        points.withColumn("FOLLOWING", F.when(same_leg, F.lead("START").over(leg_order)))
-        .withColumn("CODE", F.when(F.col("OPENING").isNotNull(), payment_frequency(F.col("START"), F.col("FOLLOWING"))))
-        .withColumn("TWINS", F.col("TWINS") * F.col("STEP_COPIES"))
+        leg_points(fixflows)
+        .withColumn("FOLLOWING", F.when(same_leg, F.lead("START").over(leg_order)))
+        .withColumn("CODE", F.when(is_opening, payment_frequency(F.col("START"), F.col("FOLLOWING"))))
     )
-    regular = F.col("CODE").isin(_DAILY, _MONTHLY) | (F.col("CODE").isNotNull() & (F.col("TWINS") > 1))
+    regular = is_opening & (F.col("CODE").isin(_DAILY, _MONTHLY) | (F.col("TWINS") > 1))
 
     def on_leg(leg: int, value: Column) -> Column:
         return F.max(F.when(F.col("DT_LEG0") == leg, value))
 
-    coded = judged.groupBy(*TRADE_KEY).agg(
+    return judged.groupBy(*TRADE_KEY).agg(
         on_leg(0, F.col("CODE")).alias("CODE_1"),
         on_leg(1, F.col("CODE")).alias("CODE_2"),
-        on_leg(0, F.when(regular, 1)).alias("QTY_FREQ_MULT_LEG_1"),
-        on_leg(1, F.when(regular, 1)).alias("QTY_FREQ_MULT_LEG_2"),
+        on_leg(0, F.when(regular, 1)).alias("REGULAR_1"),
+        on_leg(1, F.when(regular, 1)).alias("REGULAR_2"),
     )
+
+
+def _frequency_fields() -> list[Column]:
+    """Report values of the codes; copies of a trade are twins of each other."""
     names = F.array(*[F.lit(name) for name in _FREQUENCIES])
-    return coded.select(
-        *TRADE_KEY,
-        F.get(names, F.col("CODE_1") - 1).alias("QTY_FREQUENCY_LEG_1"),
-        F.get(names, F.col("CODE_2") - 1).alias("QTY_FREQUENCY_LEG_2"),
-        "QTY_FREQ_MULT_LEG_1",
-        "QTY_FREQ_MULT_LEG_2",
-    )
+
+    def name(leg: int) -> Column:
+        return F.get(names, F.col(f"CODE_{leg}") - 1).alias(f"QTY_FREQUENCY_LEG_{leg}")
+
+    def multiplier(leg: int) -> Column:
+        copied = F.col(f"CODE_{leg}").isNotNull() & (F.col("STEP_COPIES") > 1)
+        return F.when(copied, 1).otherwise(F.col(f"REGULAR_{leg}")).alias(f"QTY_FREQ_MULT_LEG_{leg}")
+
+    return [name(1), name(2), multiplier(1), multiplier(2)]
 
 
 def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
     """Payment frequency and its multiplier per (trade, date) with dated steps."""
-    found = _leg_frequencies(counted_copies(trades).join(leg_points(fixflows), TRADE_KEY))
-    return found.select("NB", _value_date(), *found.columns[2:])
+    found = flow_frequencies(fixflows).join(counted_copies(trades), TRADE_KEY)
+    return found.select("NB", _value_date(), *_frequency_fields())
 
 
 # --- both, per trade and date ------------------------------------------------
@@ -275,13 +288,11 @@ def schedules(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP)
     All joins in here are between narrow rows; the wide trades then need one
     join for both results.
     """
-    copies, points = trade_copies(trades).alias("c"), leg_points(fixflows).alias("p")
-    same_trade = (F.col("c.NB") == F.col("p.NB")) & (F.col("c.DAY") == F.col("p.DAY"))
-    all_trades = copies.join(points, same_trade & (F.col("STEP_COPIES") > 0), "left").select(
-        "c.*", "DT_LEG0", "OPENING", "START", "TWINS"
-    )
+    copies, found = trade_copies(trades).alias("c"), flow_frequencies(fixflows).alias("f")
+    same_trade = (F.col("c.NB") == F.col("f.NB")) & (F.col("c.DAY") == F.col("f.DAY"))
     return (
-        _leg_frequencies(all_trades)
+        copies.join(found, same_trade & (F.col("STEP_COPIES") > 0), "left")
+        .select("c.NB", "c.DAY", *_frequency_fields())
         .join(notionals(trades, fixflows, cap=cap), "NB", "left")
         .where(F.coalesce("QTY_FREQUENCY_LEG_1", "QTY_FREQUENCY_LEG_2", "CONCAT_CAPREM0").isNotNull())
     )

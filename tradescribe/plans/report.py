@@ -19,6 +19,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradescribe import constants as K
+from tradescribe.functions.numbers import amount_text
 from tradescribe.operators import classify, clearing, events, options, packages, parties, units
 from tradescribe.operators.counterparty import attach_match, match_table, with_match_keys
 from tradescribe.operators.schedule import TRADE_KEY, schedules, with_day
@@ -27,13 +28,17 @@ from tradescribe.sources.schemas import REPORT_COLUMNS
 
 
 def classified(trades: DataFrame) -> DataFrame:
-    """Trades plus the classifiers that other fields read."""
+    """Trades plus the values that other fields read, some of them many times."""
     return trades.withColumns(
         {
             "CLEARED": classify.cleared(),
             "CAN_CLEARABLE": classify.can_clearable(),
             "EMBEDDED_OPTION": classify.embedded_option(),
             "PACKAGE_INDICATOR": classify.package_indicator(),
+            "CALL_VALUE": options.call_value(),
+            "PUT_VALUE": options.put_value(),
+            "CALL_CURR_LEG_1": options.call_currency(),
+            "PUT_CURR_LEG_1": options.put_currency(),
         }
     )
 
@@ -48,10 +53,10 @@ def trade_fields() -> dict[str, Column]:
         "BASKET_INDICATOR": parties.yes_flag("M_BASKET_IND"),
         "EVENT_IDENTIFIER": events.event_identifier(),
         "EVENT_TIMESTAMP": events.event_timestamp(),
-        "CALL_AMOUNT_LEG_1": options.call_amount(),
-        "CALL_CURR_LEG_1": options.call_currency(),
-        "PUT_AMOUNT_LEG_1": options.put_amount(),
-        "PUT_CURR_LEG_1": options.put_currency(),
+        "CALL_AMOUNT_LEG_1": amount_text(F.col("CALL_VALUE")),
+        "CALL_CURR_LEG_1": F.col("CALL_CURR_LEG_1"),
+        "PUT_AMOUNT_LEG_1": amount_text(F.col("PUT_VALUE")),
+        "PUT_CURR_LEG_1": F.col("PUT_CURR_LEG_1"),
         "QUANTITY_UNIT_MEASURE_LEG_1": units.unit_leg_1(),
         "QUANTITY_UNIT_MEASURE_LEG_2": units.unit_leg_2(),
         "PACKAGE_INDICATOR": F.col("PACKAGE_INDICATOR"),

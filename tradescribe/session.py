@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     # report's projections fuse into larger ones; without fusion they are split
     # into small methods and run twice as fast.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The one aggregate on objects, the notional list, finds its input sorted by
+    # trade.  A streaming aggregate uses that; the hash-based one sorts again.
+    "spark.sql.execution.useObjectHashAggregateExec": "false",
     # The notional list keeps about 2,000 elements per trade; above this
     # limit the rank filter would run only after the shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "50000",

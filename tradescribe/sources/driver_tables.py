@@ -43,8 +43,23 @@ PRODUCTS = """
 FIRST_VALUE_DATE, LAST_VALUE_DATE = "1995-01-01", "2001-08-01"
 
 
+# The columns used, with their types: no job has to look them up.
+COLUMNS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_name STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores, where the file has too few row groups for that."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def _literal(value: str | None) -> str:
@@ -91,7 +106,7 @@ def _products(spark: SparkSession) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").selectExpr(
+    orders = _spread(_table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey AS k",
         "o_orderkey div 24 AS q",
         "int(pmod(o_orderkey, 24)) AS product_id",
@@ -178,10 +193,9 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = f"sequence(DATE '{FIRST_VALUE_DATE}', DATE '{LAST_VALUE_DATE}', INTERVAL 1 MONTH)"
     rows = (
-        _table(spark, sf_dir, "customer")
+        # Each customer becomes up to 160 rows.
+        _spread(_table(spark, sf_dir, "customer"), "c_custkey")
         .selectExpr("c_custkey AS c", "c_name")
-        # Each customer becomes up to 160 rows: spread them over all cores first.
-        .repartition(spark.sparkContext.defaultParallelism, "c")
         .selectExpr("*", f"explode({dates}) AS vd")
         .where("pmod(c + month(vd), 5) <> 0")
         .selectExpr("*", "explode(array(0, 1)) AS v")
