@@ -120,7 +120,8 @@ def notionals(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP)
         F.asc("DT_CAPREM0"),
     )
     element = number_text(F.col("DT_CAPREM0"))
-    times = F.least(F.col("COPIES"), F.lit(most)).cast("int")
+    room = F.lit(most + 1) - F.col("POSITION")
+    times = F.least(F.col("COPIES"), room).cast("int")
     return (
         listed.withColumn("POSITION", F.row_number().over(in_order))
         .where(F.col("POSITION") <= most)

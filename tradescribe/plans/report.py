@@ -25,6 +25,7 @@ from tradescribe.operators.counterparty import attach_match, match_table, with_m
 from tradescribe.operators.schedule import TRADE_KEY, schedules, with_day
 from tradescribe.operators.trades import base_trades
 from tradescribe.sources.schemas import REPORT_COLUMNS
+from tradescribe.sources.tables import normal_fixflows
 
 
 def classified(trades: DataFrame) -> DataFrame:
@@ -120,6 +121,7 @@ def report(
         counterparties = counterparties.where(F.col("RPY_VALUE_DATE") == F.lit(as_of))
         fixflows = fixflows.where(F.col("FFL_VALUE_DATE") == F.lit(as_of))
     base = base_trades(trades, as_of=as_of, allow_list=allow_list)
+    flows = normal_fixflows(fixflows)
     early = trade_fields()
     keys = [*TRADE_KEY, "THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE"]
     travelling = with_day(with_match_keys(classified(base))).select(
@@ -129,7 +131,7 @@ def report(
     with_parties = attach_match(travelling, match_table(base, counterparties)).select(
         *TRADE_KEY, *early, *[value.alias(name) for name, value in late.items()]
     )
-    complete = with_parties.join(schedules(base, fixflows, cap=list_cap), TRADE_KEY, "left").withColumns(
+    complete = with_parties.join(schedules(base, flows, cap=list_cap), TRADE_KEY, "left").withColumns(
         {
             **constant_fields(own_lei),
             "NOTI_AMOUNT_IE_ON_ASSOC_EFF_DATE_LEG_1": F.col("CONCAT_CAPREM0"),
