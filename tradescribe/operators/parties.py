@@ -12,15 +12,7 @@ from pyspark.sql import Column, functions as F
 from tradescribe import constants as K
 from tradescribe.functions.rules import any_of, first_match, lookup
 from tradescribe.functions.text import empty_to_null, joined
-from tradescribe.operators.deals import (
-    bought,
-    deal,
-    family,
-    group,
-    sold,
-    upi_mentions,
-    upi_mentions_folded,
-)
+from tradescribe.operators.deals import bought, deal, family, sold, upi_mentions, upi_mentions_folded
 
 PARTY_INPUTS = ["TRN_FMLY", "TRN_GRP", "HS_UPI", "H_BS", "H_DVCS"]
 
