@@ -34,6 +34,13 @@ from tradescribe.session import tune
 from tradescribe.sources import driver_tables as tables
 from tradescribe.sources.tables import normal_fixflows
 
+try:
+    from tradescribe.llm.queries import QUERIES as LLM_QUERIES, STATEMENTS as LLM_STATEMENTS
+except ModuleNotFoundError as missing:  # the training-data operators can be left out
+    if missing.name not in ("tradescribe.llm", "tradescribe.llm.queries", "corpus_pipeline"):
+        raise
+    LLM_QUERIES, LLM_STATEMENTS = {}, {}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,8 +288,9 @@ def queries() -> dict[str, Query]:
         "report_allow_list": _report_allow_list,
         "report_alternate_base": _report_alternate_base,
         "payer_extract": _payer_extract,
+        **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(STATEMENTS)
+    return STATEMENTS | LLM_STATEMENTS

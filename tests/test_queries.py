@@ -16,8 +16,11 @@ def con():
     return duck(SF_DIR)
 
 
+REPORT_QUERIES = [name for name in entry_points.queries() if name not in entry_points.LLM_QUERIES]
+
+
 def test_every_query_has_a_statement():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(REPORT_QUERIES) == set(entry_points.oracle_sql()) - set(entry_points.LLM_STATEMENTS)
 
 
 def test_entry(spark):
@@ -26,7 +29,7 @@ def test_entry(spark):
     assert result.count() == spark.read.parquet(f"{entry_points.SMOKE_DIR}/orders.parquet").count()
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", REPORT_QUERIES)
 def test_query(spark, con, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     assert differences(df, con, entry_points.oracle_sql()[name]) == ""
