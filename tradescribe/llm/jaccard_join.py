@@ -436,3 +436,32 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, block: int = BLOCK)
             F.coalesce("g.component_id", "d.doc_id").alias("component_id"),
         )
     )
+
+
+def one_of_each_group(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """The documents with the smallest doc_id of their group; all columns stay.
+
+    A document that links with nothing stays, also one without doc_id or words.
+    Rows that repeat a doc_id are one document, of which one row stays.
+    """
+    groups = stored(jaccard_groups(documents, words).select("doc_id", "component_id"), "jaccard-kept")
+    gone = stored(
+        groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone"
+    )
+    rows = documents.alias("d")
+    id_ = F.col("d.doc_id").cast("long")
+    few = gone.count() <= BROADCAST_IDS
+    kept = rows.join(F.broadcast(gone) if few else gone, id_ == F.col("_gone"), "left_anti")
+    repeated = stored(
+        groups.where(F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("_again"))
+        .count()
+        .where(F.col("count") > 1)
+        .select("_again"),
+        "jaccard-repeated",
+    )
+    if repeated.isEmpty():
+        return kept
+    kept = kept.alias("d")
+    again = kept.join(repeated, id_ == F.col("_again"), "left_semi")
+    return kept.join(repeated, id_ == F.col("_again"), "left_anti").unionAll(again.dropDuplicates(["doc_id"]))

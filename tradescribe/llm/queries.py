@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradescribe.llm import byte_bpe, jaccard_join, jump_sharding, vector_neighbours
+from tradescribe.llm import (
+    backoff_scores,
+    blob_ledger,
+    byte_bpe,
+    decision_lists,
+    jaccard_join,
+    jump_sharding,
+    pattern_packing,
+    subword_language,
+    toxicity_neighbours,
+    vector_neighbours,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +28,14 @@ def op1_vector_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_neighbours.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_scores.backoff_scores(_table(spark, sf_dir, "documents"))
+
+
+def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing.packed(_table(spark, sf_dir, "documents"))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_groups(_table(spark, sf_dir, "documents"))
 
@@ -25,12 +44,72 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded_digests(_table(spark, sf_dir, "documents"))
 
 
+def op6_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blob_ledger.secrets(_table(spark, sf_dir, "documents"))
+
+
+def op7_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decision_lists.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_neighbours.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_sharding.sharded(_table(spark, sf_dir, "documents"))
 
 
+def op10_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_language.languages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_neighbours, op4_jaccard_join, op5_byte_bpe, op9_jump_sharding)
+    f.__name__: f
+    for f in (
+        op1_vector_neighbours,
+        op2_backoff_scores,
+        op3_pattern_packing,
+        op4_jaccard_join,
+        op5_byte_bpe,
+        op6_blob_ledger,
+        op7_decision_lists,
+        op8_toxicity_neighbours,
+        op9_jump_sharding,
+        op10_subword_language,
+    )
 }
 
-STATEMENTS: dict[str, str] = {}
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+STATEMENTS: dict[str, str] = {
+    "op2_backoff_scores": rf"""
+WITH words AS (
+    SELECT doc_id, w, i FROM (
+        SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents)
+    )
+),
+pairs AS (
+    SELECT doc_id, i, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM words
+),
+one AS (SELECT w, count(*) AS c FROM words GROUP BY w),
+two AS (SELECT v, w, count(*) AS c FROM pairs WHERE v IS NOT NULL GROUP BY v, w),
+scored AS (
+    SELECT p.doc_id,
+        CASE WHEN t.c >= {backoff_scores.LEAST_COUNT} THEN ln(t.c / before.c)
+            ELSE ln(own.c / (SELECT count(*) FROM words))
+                + CASE WHEN p.v IS NULL THEN 0 ELSE ln({backoff_scores.BACKOFF}) END
+        END AS score,
+        CASE WHEN p.v IS NOT NULL AND t.c < {backoff_scores.LEAST_COUNT} THEN 1 ELSE 0 END AS cut
+    FROM pairs p
+    JOIN one own ON own.w = p.w
+    LEFT JOIN one before ON before.w = p.v
+    LEFT JOIN two t ON t.v = p.v AND t.w = p.w
+)
+SELECT d.doc_id, count(s.score) AS n_words, CAST(coalesce(sum(s.cut), 0) AS BIGINT) AS n_backoff,
+    round(avg(s.score), 6) AS mean_log_score
+FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+""",
+}
