@@ -35,7 +35,10 @@ from tradescribe.sources import driver_tables as tables
 from tradescribe.sources.tables import normal_fixflows
 
 try:
-    from tradescribe.llm.queries import QUERIES as LLM_QUERIES, STATEMENTS as LLM_STATEMENTS
+    import corpus_pipeline
+    from tradescribe.llm.queries import QUERIES, STATEMENTS as LLM_STATEMENTS
+
+    LLM_QUERIES = QUERIES | {"pipeline": corpus_pipeline.run}
 except ModuleNotFoundError as missing:  # the training-data operators can be left out
     if missing.name not in ("tradescribe.llm", "tradescribe.llm.queries", "corpus_pipeline"):
         raise
