@@ -326,14 +326,12 @@ def _linked(table: pa.Table) -> pa.Table:
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
     """Members(home, key) with the pairs of blocks (i, j) in which each is compared; a small home is one block."""
-    ranked = stored(numbered(members, ["home"], ["key"], "n"), "jaccard-ranked")
-    sizes = ranked.groupBy("home").agg(F.count(F.lit(1)).alias("m"))
+    ranked = numbered(members, ["home"], ["key"], "n", size="m")
     own = F.expr(f"n div {block}").cast("int")
     blocks = F.expr(f"(m - 1) div {block}").cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks")))
     return (
-        ranked.join(sizes, "home")
-        .select("home", "key", own.alias("own"), blocks.alias("blocks"))
+        ranked.select("home", "key", own.alias("own"), blocks.alias("blocks"))
         .select("home", "key", "own", other.alias("other"))
         .select("home", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     )
@@ -387,7 +385,7 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, block: int = BLOCK)
         entries.repartition(buckets, "bucket").mapInArrow(_homes, "home binary, key binary").distinct(),
         "jaccard-homes",
     )
-    members = met.unionAll(met.select("home", F.col("home").alias("key")).distinct())
+    members = stored(met.unionAll(met.select("home", F.col("home").alias("key")).distinct()), "jaccard-members")
 
     bitmaps = linkable.groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
     hopeful = stored(

@@ -61,9 +61,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str, size: str | None = None) -> DataFrame:
     """Add a gapless number from 0 within each group, in an order that depends on the rows alone.
 
+    With `size`, the group's number of rows comes in a column of that name.
+
     A group may hold any share of the rows: it is dealt over buckets by a hash
     of the order columns, numbered within each bucket, and the sizes of the
     buckets before give the rest.  Rows equal in all order columns are counted
@@ -80,7 +82,10 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> Da
     sizes = df.groupBy(*group, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(
-        *group, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base")
+        *group,
+        "_bucket",
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"),
+        F.sum("_size").over(Window.partitionBy(*group)).alias("_total"),
     )
     inner = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = counted.withColumn("_before", F.coalesce(F.sum("_copies").over(inner), F.lit(0)))
@@ -91,5 +96,6 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> Da
     start = F.col("b._base") + F.col("p._before")
     return placed.alias("p").join(bases.alias("b"), same).select(
         *[F.col(f"p.{c}").alias(c) for c in [*group, *order]],
+        *([F.col("b._total").alias(size)] if size else []),
         F.explode(F.sequence(start, start + F.col("p._copies") - 1)).alias(name),
     )

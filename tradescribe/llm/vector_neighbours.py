@@ -235,11 +235,11 @@ def near_vectors(
         components(found.where(F.col("a").isNotNull()).select("a", "b").unionAll(across)), "vectors-groups"
     )
 
-    members = classes.join(groups, F.col("vec") == F.col("id")).select("component_id", "vec")
-    ranked = stored(numbered(members, ["component_id"], ["vec"], "n"), "vectors-ranked")
-    sizes = ranked.groupBy("component_id").agg(F.count(F.lit(1)).alias("m"))
+    members = stored(
+        classes.join(groups, F.col("vec") == F.col("id")).select("component_id", "vec"), "vectors-members"
+    )
     blocks = (
-        ranked.join(sizes, "component_id")
+        numbered(members, ["component_id"], ["vec"], "n", size="m")
         .select("component_id", "vec", F.expr(f"n div {block}").cast("int").alias("own"), F.expr(f"(m - 1) div {block}").cast("int").alias("last"))
         .select("component_id", "vec", "own", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
         .select("component_id", "vec", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
