@@ -29,7 +29,22 @@ LEAST_COUNT = 2
 ORDER = 2
 
 # Bytes of text in a chunk, at least, unless the partition ends.
-CHUNK_BYTES = 24_000_000
+CHUNK_BYTES = 12_000_000
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    """Ascending 64-bit values as compressed differences, whose upper bytes are mostly zero."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, np.uint64)
+    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -104,7 +119,7 @@ def _explode(order: int, buckets: int):
                         "chunk": pa.array([task << 32 | k] * len(rows), pa.int64()),
                         "place": pa.array([b for b, _, _ in rows], pa.int32()),
                         "n": pa.array([n] * len(rows), pa.int32()),
-                        "grams": pa.array([grams[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                        "grams": pa.array([packed_sorted(grams[a:b]) for _, a, b in rows], pa.binary()),
                         "counts": pa.array([counts[a:b].tobytes() for _, a, b in rows], pa.binary()),
                     }
                 )
@@ -121,7 +136,7 @@ def check_sum(grams: np.ndarray) -> int:
 
 def _count(table: pa.Table) -> pa.Table:
     """Corpus counts of a hash range for one n, for each chunk in the order of its n-grams."""
-    grams = [np.frombuffer(x, np.uint64) for x in table["grams"].to_pylist()]
+    grams = [unpacked_sorted(x.as_py()) for x in table["grams"]]
     counts = [np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]
     distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
     totals = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.uint64)
@@ -174,7 +189,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for k, chunk in enumerate(chunks(batches)):
         texts = pa.table({"doc_id": chunk["doc_id"], "text": chunk["text"]})
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, texts.schema) as writer:
+        with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(texts)
         yield pa.RecordBatch.from_pydict(
             {"chunk": pa.array([task << 32 | k], pa.int64()), "rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())}
