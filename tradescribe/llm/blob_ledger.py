@@ -22,6 +22,9 @@ from tradescribe.llm.tables import fresh_path, ship_package, stored
 
 RULES_VERSION = "2"
 
+# Up to so many unseen contents (64 bytes each) are told to all executors at once.
+BROADCAST_BLOBS = 200_000
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -128,12 +131,17 @@ def scan_versions(versions: DataFrame, ledger: str, rules: str = RULES_VERSION)
     ship_package(spark)
     contents = versions.select(blob_id(F.col("content")).alias("blob"), F.coalesce("content", F.lit("")).alias("content"))
     seen = ledger_rows(spark, ledger).where(F.col("rules") == rules).select("blob").distinct()
-    unseen = (
-        contents.join(seen, "blob", "left_anti")
-        # Copies shrink to one in each map task before they meet.
-        .groupBy("blob")
-        .agg(F.first("content").alias("content"))
-    )
+    # Copies shrink to one in each map task before they meet.
+    one_of_each = lambda rows: rows.groupBy("blob").agg(F.first("content").alias("content"))
+    if seen.isEmpty():
+        unseen = one_of_each(contents)
+    else:
+        fresh = stored(contents.select("blob").distinct().join(seen, "blob", "left_anti"), "blob-unseen")
+        if fresh.count() <= BROADCAST_BLOBS:
+            # Contents already scanned are not even shuffled.
+            unseen = one_of_each(contents.join(F.broadcast(fresh), "blob", "left_semi"))
+        else:
+            unseen = one_of_each(contents).join(fresh, "blob", "left_semi")
     found = unseen.mapInArrow(_scan, FINDINGS)
     found.select(F.lit(rules).alias("rules"), "*").write.mode("append").parquet(ledger)
     # A repeated append, after a failure between two runs, changes no result.
