@@ -104,9 +104,12 @@ def window_links(rows: pa.Table, threshold: float, window: int) -> tuple[np.ndar
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-def _windows(batches: Iterator[pa.RecordBatch], threshold: float, window: int) -> Iterator[pa.RecordBatch]:
+def _windows(
+    batches: Iterator[pa.RecordBatch], threshold: float, window: int, component: pa.DataType
+) -> Iterator[pa.RecordBatch]:
     """Links of a sorted partition, and its first and last rows for the neighbours in other partitions."""
     task = TaskContext.get().partitionId()
+    kinds = {**_BORDER, "embedding": pa.list_(component)}
 
     def links(rows: pa.Table, fresh: int) -> pa.RecordBatch:
         left, right = window_links(rows, threshold, window)
@@ -119,7 +122,7 @@ def _windows(batches: Iterator[pa.RecordBatch], threshold: float, window: int) -
             {
                 "a": pa.array([x for x, _ in pairs], pa.int64()),
                 "b": pa.array([y for _, y in pairs], pa.int64()),
-                **{name: pa.nulls(n, kind) for name, kind in _BORDER.items()},
+                **{name: pa.nulls(n, kind) for name, kind in kinds.items()},
             }
         )
 
@@ -128,8 +131,8 @@ def _windows(batches: Iterator[pa.RecordBatch], threshold: float, window: int) -
         rows = rows.combine_chunks().to_batches()[0]
         return pa.RecordBatch.from_arrays(
             [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([edge] * n, pa.int32())]
-            + [rows[name].cast(kind) for name, kind in list(_BORDER.items())[1:]],
-            ["a", "b", *_BORDER],
+            + [rows[name].cast(kind) for name, kind in list(kinds.items())[1:]],
+            ["a", "b", *kinds],
         )
 
     held = None
@@ -155,9 +158,7 @@ _BORDER = {
     "label": pa.int64(),
     "key": pa.int64(),
     "vec": pa.int64(),
-    "embedding": pa.list_(pa.float64()),
 }
-_WINDOW_ROWS = "a long, b long, edge int, pass int, label long, key long, vec long, embedding array<double>"
 
 
 def _across(table: pa.Table, threshold: float, window: int) -> pa.Table:
@@ -207,7 +208,10 @@ def near_vectors(
     """
     spark = embeddings.sparkSession
     ship_package(spark)
-    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>"))
+    # Single precision is carried as it is: each comparison widens it without loss.
+    narrow = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind, component = ("array<float>", pa.float32()) if narrow else ("array<double>", pa.float64())
+    rows = embeddings.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast(kind))
     content = F.xxhash64("embedding"), F.hash("embedding")
     rows = rows.withColumns({"h1": content[0], "h2": content[1]})
     linkable = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull())
@@ -220,12 +224,18 @@ def near_vectors(
     partitions = shuffle_partitions(spark)
     keyed = classes.select("label", "vec", "embedding").mapInArrow(
         partial(_keys, passes=passes, bits=bits),
-        "pass int, label long, key long, vec long, embedding array<double>",
+        f"pass int, label long, key long, vec long, embedding {kind}",
     )
     ordered = keyed.repartitionByRange(partitions, "pass", "label", "key", "vec").sortWithinPartitions(
         "pass", "label", "key", "vec"
     )
-    found = stored(ordered.mapInArrow(partial(_windows, threshold=threshold, window=window), _WINDOW_ROWS), "vectors-windows")
+    found = stored(
+        ordered.mapInArrow(
+            partial(_windows, threshold=threshold, window=window, component=component),
+            f"a long, b long, edge int, pass int, label long, key long, vec long, embedding {kind}",
+        ),
+        "vectors-windows",
+    )
     across = (
         found.where(F.col("edge").isNotNull())
         .groupBy("edge")
