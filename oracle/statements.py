@@ -41,6 +41,21 @@ _PART = "CASE WHEN o_orderkey % 3 > 0 THEN o_orderpriority END"
 _DAY = "l_shipdate::DATE"
 _ATTRIBUTES = [R.CARRIED.get(name, name) for name in R.ATTRIBUTES]
 
+# Every trade on two value dates.
+_TWO_DATES = [
+    D.TRADES.replace("raw_trades AS", "first_trades AS"),
+    """raw_trades AS (
+      SELECT * FROM first_trades UNION ALL
+      SELECT * REPLACE ((THD_VALUE_DATE + INTERVAL 1 MONTH)::DATE AS THD_VALUE_DATE) FROM first_trades)""",
+]
+
+# The trades are restricted, not the finished report: a list spans the dates of the trades it is made for.
+_ON_THE_DAY = "raw_trades AS (SELECT * FROM all_trades WHERE THD_VALUE_DATE = DATE '1997-05-01')"
+_AS_OF = [D.TRADES.replace("raw_trades AS", "all_trades AS"), _ON_THE_DAY]
+_AS_OF_TWO_DATES = [
+    _TWO_DATES[0], _TWO_DATES[1].replace("raw_trades AS", "all_trades AS"), _ON_THE_DAY
+]
+
 STATEMENTS = {
     "trades_base": _on_tables(f"SELECT {_shown(TRADES)} FROM t"),
     "flows_base": _on_tables(f"SELECT {_shown(FIXFLOWS)} FROM f"),
@@ -100,6 +115,16 @@ FROM apart""",
     "notionals_truncated": statement("SELECT NB, CONCAT_CAPREM0 FROM notional", *TABLES, R.BASE, R.schedule(20)),
     "next_schedule_date": _on_tables("SELECT NB, THD_VALUE_DATE, DT_LEG0, LEGSTEP, DATE2, NEXT_DATE2 FROM steps"),
     "frequency_legs": _on_tables("SELECT * FROM frequency"),
+    "frequency_with_time": statement(
+        "SELECT * FROM frequency",
+        D.TRADES,
+        D.COUNTERPARTIES,
+        D.FIXFLOWS.replace("raw_fixflows AS", "dated_fixflows AS"),
+        "raw_fixflows AS (SELECT * REPLACE (DATE2::TIMESTAMP + to_hours((LEGSTEP * 7 + DT_LEG0 * 5) % 24) AS DATE2)"
+        " FROM dated_fixflows)",
+        R.BASE,
+        R.schedule(timed=True),
+    ),
     "clearing_exception": _reported("NB", "CLEARED", "CAN_CLEARABLE", "CLEARING_CPTY_2"),
     "payer_receiver_legs": _reported(
         "NB",
@@ -129,8 +154,11 @@ FROM apart""",
         "GROUP BY CLEARED, CAN_CLEARABLE, CLEARING_CPTY_2"
     ),
     "report_full": _reported(*REPORT_COLUMNS),
-    "report_as_of": _on_tables(
-        f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported WHERE THD_VALUE_DATE = DATE '1997-05-01'"
+    "report_as_of": statement(
+        f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported", *_AS_OF, D.COUNTERPARTIES, D.FIXFLOWS, *RULES
+    ),
+    "report_as_of_alternate_base": statement(
+        f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported", *_AS_OF_TWO_DATES, D.COUNTERPARTIES, D.FIXFLOWS, *RULES
     ),
     "report_allow_list": statement(
         f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported WHERE NB IN (SELECT NB FROM returned)",
@@ -140,10 +168,7 @@ FROM apart""",
     ),
     "report_alternate_base": statement(
         f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported",
-        D.TRADES.replace("raw_trades AS", "first_trades AS"),
-        """raw_trades AS (
-          SELECT * FROM first_trades UNION ALL
-          SELECT * REPLACE ((THD_VALUE_DATE + INTERVAL 1 MONTH)::DATE AS THD_VALUE_DATE) FROM first_trades)""",
+        *_TWO_DATES,
         D.COUNTERPARTIES,
         D.FIXFLOWS,
         *RULES,

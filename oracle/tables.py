@@ -107,7 +107,7 @@ raw_counterparties AS (
     ['Y','N',NULL][c % 3 + 1] AS CLEARING_THRESHOLD_EXEEDED, ['Y','N',NULL,'Y'][c % 4 + 1] AS CANADIAN_DERIVATIVE_STATUS,
     ['Y','N',NULL,'Y','N'][c % 5 + 1] AS CANADA
   FROM (SELECT c_custkey AS c, c_name, unnest([0, 1]) AS v FROM customer),
-       (SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH))::DATE AS vd)
+       (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS vd FROM orders)
   WHERE (c + month(vd)) % 5 <> 0
 )
 """

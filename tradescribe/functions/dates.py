@@ -17,4 +17,20 @@ def months_between(later: Column, earlier: Column) -> Column:
 
 
 def days_between(later: Column, earlier: Column) -> Column:
+    """Whole days between two dates."""
     return F.datediff(later, earlier)
+
+
+def seconds_of(moment: Column) -> Column:
+    """Seconds since 1970 of a date or a moment without time zone, whatever the session's zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, moment.cast("timestamp_ntz"))
+
+
+def moment_of(seconds: Column) -> Column:
+    return F.timestamp_add("SECOND", seconds, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def exact_days_between(later: Column, earlier: Column) -> Column:
+    """Days between two moments, with the part of a day."""
+    return (seconds_of(later) - seconds_of(earlier)) / F.lit(86_400)

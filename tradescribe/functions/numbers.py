@@ -48,6 +48,19 @@ def amount_text(number: Column) -> Column:
     return F.when(too_big, "#" * K.AMOUNT_WIDTH).when(rounded.isNotNull(), text)
 
 
+def _or_error(value: Column, given: Column, message: str) -> Column:
+    """The value; an error, in every session, where it is missing for something given."""
+    failed = F.raise_error(F.concat(F.lit(message), given.cast("string"))).cast("decimal(38,0)")
+    return F.when(given.isNotNull() & value.isNull(), failed).otherwise(value)
+
+
 def text_number(text: Column) -> Column:
-    """Numeric value of an all-digit identifier."""
-    return text.cast("decimal(38,0)")
+    """Numeric value of an all-digit identifier; any other text is an error."""
+    return _or_error(text.try_cast("decimal(38,0)"), text, "not a number: ")
+
+
+def whole_number_text(number: Column) -> Column:
+    """Text of an identifier that comes as a number of any type; a fraction is an error."""
+    whole = number.try_cast("decimal(38,0)")
+    kept = F.when(whole == number, whole)
+    return _or_error(kept, number, "not a whole number: ").cast("string")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradescribe import constants as K
-from tradescribe.functions.dates import add_months, days_between, months_between
+from tradescribe.functions.dates import add_months, exact_days_between, months_between, moment_of, seconds_of
 from tradescribe.functions.numbers import number_text
 from tradescribe.functions.rows import repeat_rows
 
@@ -191,24 +191,24 @@ def payment_frequency(start: Column, following: Column) -> Column:
     """Code of the frequency that two successive start dates show."""
     return (
         F.when(following.isNull(), _IRREGULAR)
-        .when(days_between(following, start) <= K.DAILY_GAP_DAYS, _DAILY)
+        .when(exact_days_between(following, start) <= K.DAILY_GAP_DAYS, _DAILY)
         .when(F.round(months_between(following, start)) == 1, _MONTHLY)
         .otherwise(_IRREGULAR)
     )
 
 
-# A step and its date as one long, ordered by step and then by date.  Day
-# numbers of the years 1 to 9999 lie between -719162 and 2932896.
-_DAY_SHIFT = 1_000_000
-_STEP_UNIT = 10_000_000
+# A step and its start as one long, ordered by step and then by start.  Seconds
+# of the years 1 to 9999 lie between -6.3e10 and 2.6e11.
+_SECOND_SHIFT = 100_000_000_000
+_STEP_UNIT = 1_000_000_000_000
 
 
-def _packed_step(step: Column, day: Column) -> Column:
-    return step.cast("long") * _STEP_UNIT + (F.unix_date(day) + _DAY_SHIFT)
+def _packed_step(step: Column, start: Column) -> Column:
+    return step.cast("long") * _STEP_UNIT + (seconds_of(start) + _SECOND_SHIFT)
 
 
-def _packed_day(packed: Column) -> Column:
-    return F.date_from_unix_date((packed % _STEP_UNIT - _DAY_SHIFT).cast("int"))
+def _packed_start(packed: Column) -> Column:
+    return moment_of(packed % _STEP_UNIT - _SECOND_SHIFT)
 
 
 def leg_points(fixflows: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def leg_points(fixflows: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("TWINS"),
             F.min(_packed_step(F.col("LEGSTEP"), F.col("DATE2"))).alias("STEP"),
         )
-        .withColumn("START", _packed_day(F.col("STEP")))
+        .withColumn("START", _packed_start(F.col("STEP")))
     )
 
 

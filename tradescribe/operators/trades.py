@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from tradescribe.sources.tables import normal_trades
+from tradescribe.sources.tables import normal_trades, trade_numbers
 
 
 def base_trades(
@@ -21,6 +21,5 @@ def base_trades(
     kept = trades if as_of is None else trades.where(F.col("THD_VALUE_DATE") == F.lit(as_of))
     kept = normal_trades(kept)
     if allow_list is not None:
-        numbers = allow_list.select(F.col(allow_list.columns[0]).cast("string").alias("NB"))
-        kept = kept.join(numbers, "NB", "left_semi")
+        kept = kept.join(trade_numbers(allow_list), "NB", "left_semi")
     return kept

@@ -39,10 +39,6 @@ PRODUCTS = """
     IRD  IRS  -    IRD_FRA        InterestRate:IRSwap:OIS
 """
 
-# First and last value date of the order table.
-FIRST_VALUE_DATE, LAST_VALUE_DATE = "1995-01-01", "2001-08-01"
-
-
 # The columns used, with their types: no job has to look them up.
 COLUMNS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ",
@@ -56,12 +52,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores, where the file has too few row groups for that."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _literal(value: str | None) -> str:
     return "NULL" if value is None else f"'{value}'"
 
@@ -106,7 +96,7 @@ def _products(spark: SparkSession) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _spread(_table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
+    orders = _table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS k",
         "o_orderkey div 24 AS q",
         "int(pmod(o_orderkey, 24)) AS product_id",
@@ -191,12 +181,19 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dates = f"sequence(DATE '{FIRST_VALUE_DATE}', DATE '{LAST_VALUE_DATE}', INTERVAL 1 MONTH)"
+    # The months of the orders, as one array: there are as many as the calendar has.
+    dates = (
+        _table(spark, sf_dir, "orders")
+        .selectExpr("CAST(trunc(o_orderdate, 'MM') AS DATE) AS vd")
+        .where("vd IS NOT NULL")
+        .distinct()
+        .agg(F.collect_list("vd"))
+    )
     rows = (
-        # Each customer becomes up to 160 rows.
-        _spread(_table(spark, sf_dir, "customer"), "c_custkey")
+        _table(spark, sf_dir, "customer")
         .selectExpr("c_custkey AS c", "c_name")
-        .selectExpr("*", f"explode({dates}) AS vd")
+        .withColumn("dates", dates.scalar())
+        .selectExpr("c", "c_name", "explode(dates) AS vd")
         .where("pmod(c + month(vd), 5) <> 0")
         .selectExpr("*", "explode(array(0, 1)) AS v")
     )

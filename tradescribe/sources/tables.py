@@ -9,17 +9,43 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tradescribe.functions.numbers import whole_number_text
 from tradescribe.functions.text import empty_to_null
 from tradescribe.sources import schemas as S
 
 
+# Text columns that identify a row and may come as numbers.
+_IDENTIFIERS = ("NB",)
+
+# Start of a schedule step: the one date whose time of day counts.
+_MOMENTS = ("DATE2",)
+
+
+def _typed(found: T.DataType | None, field: T.StructField) -> Column:
+    """A column in its declared type; trade numbers that are numbers lose no digit, moments no hour."""
+    value = F.col(field.name)
+    if found is None or found == field.dataType:
+        return value
+    if field.name in _IDENTIFIERS and isinstance(found, T.NumericType):
+        return whole_number_text(value)
+    if field.name in _MOMENTS and isinstance(found, (T.TimestampType, T.TimestampNTZType)):
+        return value.cast(S.MOMENT)
+    return value.cast(field.dataType)
+
+
+def trade_numbers(df: DataFrame) -> DataFrame:
+    """The first column as trade numbers: NB, text without blanks around it."""
+    name = df.columns[0]
+    field = T.StructField("NB", S.TEXT)
+    renamed = df.select(F.col(f"`{name}`").alias("NB"))
+    return renamed.select(F.trim(_typed(renamed.schema["NB"].dataType, field)).alias("NB"))
+
+
 def _conform(df: DataFrame, schema: T.StructType, padded: tuple[str, ...] = ()) -> DataFrame:
     found = {field.name: field.dataType for field in df.schema}
 
     def column(field: T.StructField) -> Column:
-        value = F.col(field.name)
-        if found.get(field.name) != field.dataType:
-            value = value.cast(field.dataType)
+        value = _typed(found.get(field.name), field)
         if field.name in padded:
             value = F.rtrim(value)
         return empty_to_null(value).alias(field.name) if field.dataType == S.TEXT else value.alias(field.name)
@@ -44,7 +70,8 @@ def normal_fixflows(fixflows: DataFrame) -> DataFrame:
     an empty string and NULL act alike; it stays as read, so that the flag
     filters reach the Parquet scan.
     """
-    return fixflows.select(*[F.col(field.name).cast(field.dataType) for field in S.FIXFLOWS])
+    found = {field.name: field.dataType for field in fixflows.schema}
+    return fixflows.select(*[_typed(found.get(field.name), field).alias(field.name) for field in S.FIXFLOWS])
 
 
 def read_trades(spark: SparkSession, path: str) -> DataFrame:
