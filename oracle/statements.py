@@ -56,6 +56,10 @@ _AS_OF_TWO_DATES = [
     _TWO_DATES[0], _TWO_DATES[1].replace("raw_trades AS", "all_trades AS"), _ON_THE_DAY
 ]
 
+# The extract shows the padded code as the source has it.
+_RAW_BASE = R.BASE.replace("FROM raw_trades", ", H_DVCS AS SOURCE_DVCS FROM raw_trades")
+_RAW_EXTRACT = ", ".join("SOURCE_DVCS AS H_DVCS" if name == "H_DVCS" else name for name in EXTRACT_COLUMNS)
+
 STATEMENTS = {
     "trades_base": _on_tables(f"SELECT {_shown(TRADES)} FROM t"),
     "flows_base": _on_tables(f"SELECT {_shown(FIXFLOWS)} FROM f"),
@@ -174,10 +178,15 @@ FROM apart""",
         *RULES,
     ),
     "payer_extract": statement(
-        f"SELECT {', '.join(EXTRACT_COLUMNS)} FROM m WHERE NB IN (SELECT NB FROM returned)",
+        f"SELECT {_RAW_EXTRACT} FROM m WHERE NB IN (SELECT NB FROM returned)", D.RETURNED, *TABLES, _RAW_BASE, R.COUNTERPARTY
+    ),
+    "payer_extract_as_of": statement(
+        f"SELECT {_RAW_EXTRACT} FROM m WHERE NB IN (SELECT NB FROM returned)",
         D.RETURNED,
-        *TABLES,
-        R.BASE,
+        *_AS_OF_TWO_DATES,
+        D.COUNTERPARTIES,
+        D.FIXFLOWS,
+        _RAW_BASE,
         R.COUNTERPARTY,
     ),
 }

@@ -4,7 +4,9 @@
     python -m tradescribe.job fields  ... --fields BUYER_IDENTIFIER --out PATH
     python -m tradescribe.job extract ... --suspects PATH --out PATH
 
-A table is a Parquet path (anything with a slash) or a catalog name.
+A table is a Parquet path (anything with a slash) or a catalog name.  A list of
+trade numbers is such a table, or with --numbers-format a CSV file with a header
+or a text file of one number a line; --numbers-column names its column.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ import argparse
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tradescribe import constants as K
+from tradescribe.functions.numbers import text_number
 from tradescribe.plans.consumer import field_list
 from tradescribe.plans.investigate import investigation_extract
 from tradescribe.plans.report import report
@@ -30,11 +34,21 @@ def _load(spark: SparkSession, place: str, schema=None) -> DataFrame:
     return reader.parquet(place)
 
 
-def _numbers(spark: SparkSession, place: str | None) -> DataFrame | None:
-    """Trade numbers, one per line of a text file, or the first column of a table."""
+def _numbers(spark: SparkSession, place: str | None, kind: str, column: str | None) -> DataFrame | None:
+    """Trade numbers from the named or first column; a value of a file that is no number is an error."""
     if place is None:
         return None
-    return spark.read.text(place) if place.endswith((".txt", ".csv")) else _load(spark, place)
+    if kind == "table":
+        rows = _load(spark, place)
+    elif kind == "csv":
+        rows = spark.read.option("header", True).csv(place)
+    else:
+        rows = spark.read.text(place)
+    numbers = rows.select(F.col(f"`{column or rows.columns[0]}`").alias("NB"))
+    if kind == "table":
+        return numbers
+    text = F.trim("NB")
+    return numbers.where(text != "").select(F.when(text_number(text).isNotNull(), text).alias("NB"))
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -46,6 +60,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--as-of", type=date.fromisoformat, help="report one value date")
     parser.add_argument("--allow-list", help="report only these trade numbers")
     parser.add_argument("--suspects", help="trade numbers to investigate")
+    parser.add_argument("--numbers-format", choices=["table", "csv", "text"], default="table")
+    parser.add_argument("--numbers-column", help="column of the trade numbers, else the first")
+    parser.add_argument("--list-cap", type=int, default=K.LIST_CAP, help="bytes of a notional list; longer ones are cut")
+    parser.add_argument("--own-lei", default=K.OWN_LEI, help="LEI of the reporting party")
     parser.add_argument("--fields", nargs="+", default=["BUYER_IDENTIFIER"], choices=S.REPORT_COLUMNS[1:])
     arguments = parser.parse_args(argv)
     if arguments.job == "extract" and not arguments.suspects:
@@ -60,12 +78,23 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     tune(spark)
     trades = _load(spark, arguments.trades, S.TRADES)
     counterparties = _load(spark, arguments.counterparties, S.COUNTERPARTIES)
+
+    def numbers(place: str | None) -> DataFrame | None:
+        return _numbers(spark, place, arguments.numbers_format, arguments.numbers_column)
+
     if arguments.job == "extract":
-        suspects = _numbers(spark, arguments.suspects)
-        write_extract(investigation_extract(trades, counterparties, suspects), arguments.out)
+        extract = investigation_extract(
+            trades, counterparties, numbers(arguments.suspects), as_of=arguments.as_of, allow_list=numbers(arguments.allow_list)
+        )
+        write_extract(extract, arguments.out)
         return
     inputs = trades, counterparties, _load(spark, arguments.fixflows, S.FIXFLOWS)
-    options = {"as_of": arguments.as_of, "allow_list": _numbers(spark, arguments.allow_list)}
+    options = {
+        "as_of": arguments.as_of,
+        "allow_list": numbers(arguments.allow_list),
+        "own_lei": arguments.own_lei,
+        "list_cap": arguments.list_cap,
+    }
     if arguments.job == "report":
         result = report(*inputs, **options)
     else:

@@ -9,17 +9,19 @@ from pyspark.sql import DataFrame, functions as F
 from tradescribe.sources.tables import normal_trades, trade_numbers
 
 
+def on_list(df: DataFrame, allow_list: DataFrame | None) -> DataFrame:
+    """The rows whose trade number is on the list, if there is one; repeated numbers do no harm."""
+    return df if allow_list is None else df.join(trade_numbers(allow_list), "NB", "left_semi")
+
+
 def base_trades(
-    trades: DataFrame, *, as_of: date | None = None, allow_list: DataFrame | None = None
+    trades: DataFrame, *, as_of: date | None = None, allow_list: DataFrame | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """The trades to report, one row per input row.
 
     ``as_of`` keeps one value date; on a table laid out by date it prunes
     folders.  ``allow_list`` is a DataFrame whose first column holds trade
-    numbers; being a semi join, repeated numbers do no harm.
+    numbers.  Columns ``keep`` of the source stay beside the trade columns.
     """
     kept = trades if as_of is None else trades.where(F.col("THD_VALUE_DATE") == F.lit(as_of))
-    kept = normal_trades(kept)
-    if allow_list is not None:
-        kept = kept.join(trade_numbers(allow_list), "NB", "left_semi")
-    return kept
+    return on_list(normal_trades(kept, keep), allow_list)

@@ -23,7 +23,7 @@ from tradescribe.functions.numbers import amount_text
 from tradescribe.operators import classify, clearing, events, options, packages, parties, units
 from tradescribe.operators.counterparty import attach_match, match_table, with_match_keys
 from tradescribe.operators.schedule import TRADE_KEY, schedules, with_day
-from tradescribe.operators.trades import base_trades
+from tradescribe.operators.trades import base_trades, on_list
 from tradescribe.sources.schemas import REPORT_COLUMNS
 from tradescribe.sources.tables import normal_fixflows
 
@@ -115,13 +115,16 @@ def report(
 
     ``as_of`` and ``allow_list`` restrict the trades (see ``base_trades``).
     All lookups share the trade's value date, so ``as_of`` restricts the other
-    two tables to the same date.
+    two tables to the same date; the list restricts the flows as well.
+
+    Notional lists longer than ``list_cap`` bytes are cut after a whole element
+    and end in an ellipsis.
     """
     if as_of is not None:
         counterparties = counterparties.where(F.col("RPY_VALUE_DATE") == F.lit(as_of))
         fixflows = fixflows.where(F.col("FFL_VALUE_DATE") == F.lit(as_of))
     base = base_trades(trades, as_of=as_of, allow_list=allow_list)
-    flows = normal_fixflows(fixflows)
+    flows = on_list(normal_fixflows(fixflows), allow_list)
     early = trade_fields()
     keys = [*TRADE_KEY, "THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE"]
     travelling = with_day(with_match_keys(classified(base))).select(
@@ -141,9 +144,9 @@ def report(
 
 
 def publish(
-    trades: DataFrame, counterparties: DataFrame, fixflows: DataFrame, name: str = "trade_report"
+    trades: DataFrame, counterparties: DataFrame, fixflows: DataFrame, name: str = "trade_report", **options
 ) -> DataFrame:
-    """Publish the report as a SQL view and return it."""
-    result = report(trades, counterparties, fixflows)
+    """Publish the report as a SQL view and return it; options as for ``report``."""
+    result = report(trades, counterparties, fixflows, **options)
     result.createOrReplaceTempView(name)
     return result

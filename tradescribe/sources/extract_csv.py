@@ -20,10 +20,9 @@ def read_extract(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_extract(extract: DataFrame, path: str) -> None:
-    """Write an extract as CSV files that ``read_extract`` reads back unchanged."""
+    """Write an extract, with the columns it has, as CSV files; the default ones ``read_extract`` reads back unchanged."""
     (
-        extract.select(*S.EXTRACT_COLUMNS)
-        .write.mode("errorifexists")
+        extract.write.mode("errorifexists")
         .option("header", True)
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)

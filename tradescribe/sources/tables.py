@@ -41,7 +41,9 @@ def trade_numbers(df: DataFrame) -> DataFrame:
     return renamed.select(F.trim(_typed(renamed.schema["NB"].dataType, field)).alias("NB"))
 
 
-def _conform(df: DataFrame, schema: T.StructType, padded: tuple[str, ...] = ()) -> DataFrame:
+def _conform(
+    df: DataFrame, schema: T.StructType, padded: tuple[str, ...] = (), keep: tuple[str, ...] = ()
+) -> DataFrame:
     found = {field.name: field.dataType for field in df.schema}
 
     def column(field: T.StructField) -> Column:
@@ -50,12 +52,12 @@ def _conform(df: DataFrame, schema: T.StructType, padded: tuple[str, ...] = ())
             value = F.rtrim(value)
         return empty_to_null(value).alias(field.name) if field.dataType == S.TEXT else value.alias(field.name)
 
-    return df.select(*[column(field) for field in schema])
+    return df.select(*[column(field) for field in schema], *keep)
 
 
-def normal_trades(trades: DataFrame) -> DataFrame:
-    """The 65 trade columns with their declared types, empty text as NULL."""
-    return _conform(trades, S.TRADES, S.PADDED_COLUMNS)
+def normal_trades(trades: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The 65 trade columns with their declared types, empty text as NULL; columns ``keep`` come as they are."""
+    return _conform(trades, S.TRADES, S.PADDED_COLUMNS, keep)
 
 
 def normal_counterparties(counterparties: DataFrame) -> DataFrame:
