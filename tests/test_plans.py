@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from contextlib import contextmanager
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tradescribe.operators.schedule import frequencies, notionals, notional_flow
 from tradescribe.operators.trades import base_trades
 from tradescribe.plans.consumer import buyers
 from tradescribe.plans.report import publish, report
-from tradescribe.sources import driver_tables as D, tables as T
+from tradescribe.sources import driver_tables as D, schemas as S, tables as T
 
 SF_DIR = "/root/testdata/sf0.01"
 HOT_CODE, HOT_DAY, HOT_TRADE = "Customer#000000001", "1998-03-01", "7"
@@ -145,9 +146,9 @@ def fingerprint(df):
     return sorted(map(repr, df.collect()))
 
 
-def split_joins(spark, build):
+def split_joins(spark, build, **sizes):
     """Skew-split joins of the executed plan; checks that the result is the same."""
-    with conf(spark, **SKEW):
+    with conf(spark, **SKEW | sizes):
         df = build()
         split = fingerprint(df)
         text = plan(df)
@@ -167,6 +168,51 @@ def test_hot_counterparty_is_split_over_trades(spark, stored):
     assert split_joins(spark, build)
 
 
+def test_hot_fallback_is_split(spark, stored):
+    """Unknown primaries, all different, half of them with one fallback code on one date."""
+    _, counterparties, _ = stored
+    code = counterparties.where("RPY_VALUE_DATE = DATE '1997-05-01'").agg(F.min("MUREX_COUNTERPART")).first()[0]
+    half = F.col("id") % 2 == 0
+    trades = spark.range(15_000).select(
+        *[
+            {
+                "NB": F.col("id").cast("string"),
+                "THD_VALUE_DATE": F.lit(date(1997, 5, 1)),
+                "HS_CNTRP": F.concat(F.lit("unknown"), "id"),
+                "H_INT": F.lit("Y"),
+                "D_CTP_ENT": F.when(half, code).otherwise(F.concat(F.lit("other"), "id")),
+            }
+            .get(field.name, F.lit(None).cast(field.dataType))
+            .alias(field.name)
+            for field in S.TRADES
+        ]
+    )
+    base = base_trades(trades)
+    # Codes are short, so the sizes that count as large are small here, and no task takes them all.
+    small = {
+        "spark__sql__adaptive__coalescePartitions__enabled": "false",
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": "4k",
+        "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "8k",
+    }
+    assert split_joins(
+        spark, lambda: match_table(base, counterparties).select("PRIMARY_CODE", "MATCH_SOURCE"), **small
+    )
+
+
+def test_allow_list_restricts_versions_and_flows(spark, stored):
+    """The list is joined below the aggregates of the flows, and the keys below that of the versions."""
+    numbers = spark.createDataFrame([("1",), ("2",)], "NB string")
+    text = plan(report(*stored, allow_list=numbers))
+    flow_scans = [line for line in text.splitlines() if "/fixflows" in line]
+    assert flow_scans and text.count("LeftSemi") >= len(flow_scans) + 1
+    assert plan(report(*stored)).count("LeftSemi") >= 1
+
+
+def test_a_large_cap_keeps_the_partial_limit(stored):
+    text = plan(notionals(base_trades(stored[0]), T.normal_fixflows(stored[2]), cap=100_000))
+    assert re.findall(r"WindowGroupLimit .*?(Partial|Final)", text).count("Partial") >= 1
+
+
 def test_hot_counterparty_is_split_over_versions(spark, stored):
     trades, counterparties, _ = stored
     wanted = ["MUREX_COUNTERPART", "AGENT_ID", "LEI"]

@@ -132,10 +132,10 @@ def embedded_option() -> Column:
     )
 
 
-def base_direction() -> Column:
-    """Side of the reporting party: buyer or seller."""
+def base_direction(lender: str = K.LENDING_DESK) -> Column:
+    """Side of the reporting party: buyer or seller; ``lender`` sells swaps with a positive rate."""
     payment, rate = F.col("H_IPAY"), F.col("TP_RTCCP02")
-    lends_at_rate = (F.col("TP_LENTDSP") == K.LENDING_DESK) & (rate > 0)
+    lends_at_rate = (F.col("TP_LENTDSP") == lender) & (rate > 0)
     receiving_leg = (F.col("DEAL_LEG") == 1) | (F.col("TP_RTNBLEG") == 1)
     return first_match(
         [

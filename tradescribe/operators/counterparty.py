@@ -4,7 +4,8 @@ A third of all trades may share one counterparty, and one counterparty may own
 a third of all versions, so nothing here shuffles raw trades or raw versions by
 counterparty code:
 
-* versions shrink to the latest one inside each map task, before the shuffle;
+* versions are first restricted to the (date, code) pairs that trades look up,
+  then shrink to the latest one inside each map task;
 * trades shrink to their distinct (date, primary, fallback) combinations, and
   only those are joined with the counterparties;
 * the trades themselves meet the finished matches in one join.  Both of its
@@ -57,7 +58,7 @@ def relevant_counterparties(trades: DataFrame, counterparties: DataFrame) -> Dat
     execution could not split a counterparty with very many versions.
     """
     versions = normal_counterparties(counterparties)
-    keys = relevant_keys(trades).hint("merge").alias("k")
+    keys = relevant_keys(trades).alias("k")
     same_key = (F.col("c.RPY_VALUE_DATE") == F.col("k.RPY_VALUE_DATE")) & F.col(
         "c.MUREX_COUNTERPART"
     ).eqNullSafe(F.col("k.MUREX_COUNTERPART"))
@@ -102,8 +103,11 @@ def match_table(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
     so that such combinations spread over all tasks; the extra condition keeps
     them from matching.
 
-    The versions are merged, never broadcast: how many there are is not known
-    from the size of the files they were derived from.
+    An unknown code is in no reference data, so a code may come with any number
+    of others.  The fallback code decides where a combination goes only if the
+    primary gave no agent, and the looked-up side, once dealt evenly, comes into
+    each join by a shuffle of its own, which lets adaptive execution split a hot
+    code.  That side holds one row for each code that the trades refer to.
     """
     combos = (
         with_match_keys(trades)
@@ -112,7 +116,7 @@ def match_table(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
         .select("THD_VALUE_DATE", "PRIMARY_CODE", "FALLBACK_CODE")
         .distinct()
     )
-    latest = latest_versions(counterparties).hint("merge")
+    latest = latest_versions(relevant_counterparties(trades, counterparties)).hint("rebalance")
     has_primary = F.col("PRIMARY_CODE") != NO_CODE
     has_fallback = F.col("FALLBACK_CODE") != NO_CODE
 
@@ -121,11 +125,12 @@ def match_table(trades: DataFrame, counterparties: DataFrame) -> DataFrame:
             F.col(f"{side}.MUREX_COUNTERPART") == code
         )
 
-    primary_or_any = F.when(has_primary, F.col("PRIMARY_CODE")).otherwise(F.col("FALLBACK_CODE"))
-    fallback_or_any = F.when(has_fallback, F.col("FALLBACK_CODE")).otherwise(F.col("PRIMARY_CODE"))
     agent_1, agent_2 = F.col("first.AGENT_ID"), F.col("second.AGENT_ID")
+    primary_or_any = F.when(has_primary, F.col("PRIMARY_CODE")).otherwise(F.col("FALLBACK_CODE"))
+    asks_fallback = has_fallback & agent_1.isNull()
+    fallback_or_any = F.when(asks_fallback, F.col("FALLBACK_CODE")).otherwise(F.col("PRIMARY_CODE"))
     resolved = combos.join(latest.alias("first"), on("first", primary_or_any) & has_primary, "left").join(
-        latest.alias("second"), on("second", fallback_or_any) & has_fallback & agent_1.isNull(), "left"
+        latest.alias("second"), on("second", fallback_or_any) & asks_fallback, "left"
     )
     merged = [
         F.coalesce(F.col(f"first.{name}"), F.col(f"second.{name}")).alias(CARRIED_AS.get(name, name))

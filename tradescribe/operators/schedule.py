@@ -13,6 +13,7 @@ from tradescribe import constants as K
 from tradescribe.functions.dates import add_months, exact_days_between, months_between, moment_of, seconds_of
 from tradescribe.functions.numbers import number_text
 from tradescribe.functions.rows import repeat_rows
+from tradescribe.session import bounded_groups
 
 # Frequencies in text order, so that the greatest number is the greatest text.
 _FREQUENCIES = ("DAIL", "EXPI", "MNTH")
@@ -42,9 +43,7 @@ def _value_date() -> Column:
 def trade_copies(trades: DataFrame) -> DataFrame:
     """Row count per (trade, day): all rows, and those whose steps count.
 
-    Joins with it are merged, never broadcast.  It can have as many rows as
-    there are trades, and the estimated size of three well-compressed columns
-    says little about that.
+    Its two uses read the same columns, so the plan builds it once.
     """
     return (
         with_day(trades)
@@ -54,7 +53,6 @@ def trade_copies(trades: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("COPIES"),
             F.count_if(F.col("TRN_GRP") != "RTRN").alias("STEP_COPIES"),
         )
-        .hint("merge")
     )
 
 
@@ -107,7 +105,12 @@ def notionals(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP)
     which lets adaptive execution split such a trade there as well.
     """
     most = elements_that_fit(cap)
-    copies = trade_copies(trades).select(F.col("NB").alias("TRADE"), F.col("DAY").alias("TRADE_DAY"), "COPIES")
+    bounded_groups(trades.sparkSession, most)
+    copies = trade_copies(trades).select(
+        F.col("NB").alias("TRADE"), F.col("DAY").alias("TRADE_DAY"), "COPIES", "STEP_COPIES"
+    )
+    # A count of steps is never negative; the filter keeps the column in the plan, where it can be shared.
+    copies = copies.where(F.col("STEP_COPIES") >= 0)
     listed = notional_flows(fixflows).join(
         copies, F.col("NB").eqNullSafe(F.col("TRADE")) & (_flow_day() == F.col("TRADE_DAY"))
     )

@@ -18,19 +18,32 @@ RUNTIME_CONF = {
     # The one aggregate on objects, the notional list, finds its input sorted by
     # trade.  A streaming aggregate uses that; the hash-based one sorts again.
     "spark.sql.execution.useObjectHashAggregateExec": "false",
-    # The notional list keeps about 2,000 elements per trade; above this
-    # limit the rank filter would run only after the shuffle.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "50000",
+    # Plans are made before sizes are known; only sizes that adaptive execution
+    # has measured decide on a broadcast.
+    "spark.sql.autoBroadcastJoinThreshold": "256k",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
+# A rank filter on more rows than this runs only after the shuffle.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session, and so to all its later queries.
+
+    No result depends on them.  They stay until the caller sets them back.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark
 
 
+def bounded_groups(spark: SparkSession, most: int) -> None:
+    """Let rank filters that keep up to ``most`` rows of a group work inside the map tasks."""
+    if int(spark.conf.get(GROUP_LIMIT)) <= most:
+        spark.conf.set(GROUP_LIMIT, str(most + 1))
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -52,6 +52,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores: a small file is one split, and its rows become many."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _literal(value: str | None) -> str:
     return "NULL" if value is None else f"'{value}'"
 
@@ -96,7 +101,7 @@ def _products(spark: SparkSession) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").selectExpr(
+    orders = _dealt(_table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey AS k",
         "o_orderkey div 24 AS q",
         "int(pmod(o_orderkey, 24)) AS product_id",
@@ -190,7 +195,7 @@ def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_list("vd"))
     )
     rows = (
-        _table(spark, sf_dir, "customer")
+        _dealt(_table(spark, sf_dir, "customer"), "c_custkey")
         .selectExpr("c_custkey AS c", "c_name")
         .withColumn("dates", dates.scalar())
         .selectExpr("c", "c_name", "explode(dates) AS vd")
@@ -221,7 +226,7 @@ def counterparties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixflows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").selectExpr(
+    orders = _dealt(_table(spark, sf_dir, "orders"), "o_orderkey").selectExpr(
         "o_orderkey AS k", "trunc(date(o_orderdate), 'month') AS vd"
     )
     lines = _table(spark, sf_dir, "lineitem").selectExpr(
