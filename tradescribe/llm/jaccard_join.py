@@ -216,7 +216,7 @@ _KEY = np.dtype([("first", np.uint64), ("second", np.uint64)])
 
 
 def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(home, key) for the classes of each shingle of one task: the home is the smallest of them."""
+    """(home, key) for the classes of each shingle of one task, the home, which is the smallest of them, included."""
     buckets, keys, shingles, owners = [], [], [], []
     at = 0
     for batch in batches:
@@ -237,7 +237,8 @@ def _homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
     home = np.repeat(owner[first], np.diff(np.r_[first, len(shingle)]))
     met = home != owner
-    pairs = np.unique(home[met] * len(distinct) + owner[met])
+    pairs = home[met] * len(distinct) + owner[met]
+    pairs = np.unique(np.concatenate([pairs, np.unique(home[met]) * (len(distinct) + 1)]))
     raw = [x.tobytes() for x in distinct]
     for a in range(0, len(pairs), 50_000):
         home, owner = np.divmod(pairs[a : a + 50_000], len(distinct))
@@ -325,8 +326,8 @@ def _linked(table: pa.Table) -> pa.Table:
 
 
 def _in_blocks(members: DataFrame, block: int) -> DataFrame:
-    """Members(home, key) with the pairs of blocks (i, j) in which each is compared; a small home is one block."""
-    ranked = numbered(members, ["home"], ["key"], "n", size="m")
+    """Distinct members(home, key) with the pairs of blocks (i, j) in which each is compared; a small home is one block."""
+    ranked = numbered(members, ["home"], ["key"], "n", size="m", unique=True)
     own = F.expr(f"n div {block}").cast("int")
     blocks = F.expr(f"(m - 1) div {block}").cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks")))
@@ -368,7 +369,11 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, block: int = BLOCK)
     keyed = stored(texts.mapInArrow(partial(_keyed, words=words), _KEYED), "jaccard-keyed")
     linkable = keyed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = stored(
-        linkable.groupBy("key").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n_shingles")),
+        linkable.groupBy("key").agg(
+            F.min("doc_id").alias("class_id"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("bitmap").alias("bitmap"),
+        ),
         "jaccard-classes",
     )
 
@@ -381,23 +386,21 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, block: int = BLOCK)
         partial(_prefix, words=words, frequent=ranked, buckets=buckets),
         "bucket int, keys binary, counts binary, shingles binary",
     )
-    met = stored(
+    members = stored(
         entries.repartition(buckets, "bucket").mapInArrow(_homes, "home binary, key binary").distinct(),
-        "jaccard-homes",
+        "jaccard-members",
     )
-    members = stored(met.unionAll(met.select("home", F.col("home").alias("key")).distinct()), "jaccard-members")
 
-    bitmaps = linkable.groupBy("key").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
     hopeful = stored(
         _in_blocks(members, block)
-        .join(bitmaps, "key")
+        .join(classes.select("key", "n_shingles", "bitmap"), "key")
         .groupBy("home", "i", "j")
         .applyInArrow(_hopeful, "home binary, key binary")
         .distinct(),
         "jaccard-hopeful",
     )
 
-    wanted = hopeful.select("key").distinct().join(classes, "key").select("class_id").distinct()
+    wanted = hopeful.select("key").distinct().join(classes, "key").select("class_id")
     wanted = stored(wanted, "jaccard-wanted")
     few = wanted.count() <= BROADCAST_IDS
     chosen = named.join(
@@ -406,8 +409,7 @@ def jaccard_groups(documents: DataFrame, words: int = WORDS, block: int = BLOCK)
     sets = stored(
         chosen.mapInArrow(partial(_set_rows, words=words), "key binary, shingles binary")
         .dropDuplicates(["key"])
-        .join(classes, "key")
-        .select("key", F.col("class_id").alias("doc_id"), "n_shingles", "shingles"),
+        .join(classes.select("key", F.col("class_id").alias("doc_id"), "n_shingles"), "key"),
         "jaccard-sets",
     )
     links = (

@@ -61,7 +61,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def numbered(df: DataFrame, group: list[str], order: list[str], name: str, size: str | None = None) -> DataFrame:
+def numbered(
+    df: DataFrame, group: list[str], order: list[str], name: str, size: str | None = None, unique: bool = False
+) -> DataFrame:
     """Add a gapless number from 0 within each group, in an order that depends on the rows alone.
 
     With `size`, the group's number of rows comes in a column of that name.
@@ -69,16 +71,20 @@ def numbered(df: DataFrame, group: list[str], order: list[str], name: str, size:
     A group may hold any share of the rows: it is dealt over buckets by a hash
     of the order columns, numbered within each bucket, and the sizes of the
     buckets before give the rest.  Rows equal in all order columns are counted
-    before they are dealt, and so many copies of a row are one row here.
+    before they are dealt, and so many copies of a row are one row here.  With
+    `unique`, there are none, and the rows save that shuffle.
 
     df is read twice and should be a stored table.  Other columns than those
     given are dropped.  The buckets are as many as the shuffle partitions.
     """
     spark = df.sparkSession
     bucket = F.pmod(F.xxhash64(*order), F.lit(shuffle_partitions(spark))).cast("int")
+    rows = df.select(*group, *order)
     counted = (
-        df.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_bucket", bucket)
-    )
+        rows.withColumn("_copies", F.lit(1).cast("long"))
+        if unique
+        else rows.groupBy(*group, *order).agg(F.count(F.lit(1)).alias("_copies"))
+    ).withColumn("_bucket", bucket)
     sizes = df.groupBy(*group, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select(
