@@ -113,7 +113,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     ship_package(links.sparkSession)
     known = links.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-    edges = stored(known.select("a", "b").mapInArrow(_contracted, "u long, v long"), "components-links")
+    # Links often come out of Python; stored first, so that no task runs two Python workers at once.
+    known = stored(known.select("a", "b"), "components-found")
+    edges = stored(known.mapInArrow(_contracted, "u long, v long"), "components-links")
     while not _all_stars(edges):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = _star(_star(both, large=True), large=False)
