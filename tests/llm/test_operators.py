@@ -461,6 +461,17 @@ def test_toxicity_of_held_out_documents(spark):
     assert hit > 0.85 and false < 0.02
 
 
+def test_a_copy_of_an_example_is_its_nearest(spark):
+    """Every word spans the vectors, also one that marks no label or is in a single example."""
+    learn = [d for d in range(200) if zlib.crc32(str(d).encode()) % 4 != 2]
+    held = [d for d in range(200) if zlib.crc32(str(d).encode()) % 4 == 2]
+    texts = {d: f"common plain{d} words{d} only" for d in learn} | {h: f"common plain{d} words{d} only" for h, d in zip(held, learn)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    known = labels(spark, [(d, None, int(i % 9 == 0), None) for i, d in enumerate(learn)])
+    rows = {r.doc_id: r for r in toxicity_neighbours.toxicity(docs, known).collect()}
+    assert [rows[h].evidence[0] for h in held] == learn[: len(held)]
+
+
 def test_toxicity_without_labels(spark, odd):
     rows = toxicity_neighbours.toxicity(odd, labels(spark)).collect()
     assert len(rows) == odd.count() and {(r.score, r.predicted) for r in rows} == {(0.0, 0)}

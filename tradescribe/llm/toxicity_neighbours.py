@@ -1,41 +1,40 @@
 """Toxicity from the nearest labelled examples under TF-IDF cosine.
 
-Terms are words and their beginnings.  Those that mark toxic examples in the
-labelled sample span the vectors, weighted by their rarity in all documents.
-Examples with equal vectors are one, with counts of both labels.  They lie in an
-inverted index whose postings come in blocks with the largest weight of each, so
-the exact nearest examples are found without scoring blocks that cannot reach
-them.  Neighbours vote by their distance, and the votes are calibrated on the
-sample itself, each example left out of its own vote.
-
-A text without any such term has no neighbours and the share of toxic examples
-among those like it.
+Terms are words and their beginnings.  All terms of the labelled sample span the
+vectors, weighted by their rarity in all documents and by relevance frequency
+(Lan et al., 2009), which raises those that toxic examples hold more often and
+drops none; a term that no example holds is in no vector.  Examples with equal vectors are one, with counts of both
+labels.  They lie in an inverted index, with the most frequent terms as rows of
+a matrix, and every example's cosine is computed, so the nearest are exact.
+Neighbours vote by their distance, and the votes are calibrated on the sample
+itself, each example left out of its own vote.
+
+A text without any term of the sample has no neighbours and the share of toxic
+examples among those like it.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradescribe.llm.tables import ship_package
+from tradescribe.llm.tables import ship_package, shuffle_partitions
 from tradescribe.llm.words import _BASE, _BASE_INVERSE, _BYTE_VALUE, _powers_of, mix, text_slices
 
 # Labelled documents the examples and terms are learned from, at most; chosen by a hash.
 SAMPLE = 12_000
-TERMS = 4_096
 PREFIXES = (4, 5, 6)
-# A term must be in so many examples, this much (chi-squared) and so many times oftener in toxic ones.
-LEAST_EXAMPLES = 4
-LEAST_CHI_SQUARED = 25.0
-LEAST_LIFT = 3.0
 
 NEIGHBOURS = 25
-BLOCK = 64
+# Terms kept as rows of a matrix, at most, and texts compared at once; neither changes a result.
+DENSE = 1_024
+TOGETHER = 64
 PRIOR = 1.0  # weight of the base rate in a vote
 THRESHOLD = 0.3
 
@@ -78,12 +77,12 @@ class Vocabulary:
 
     def __init__(self, terms: np.ndarray):
         self.terms = np.sort(terms)
-        self.maybe = np.zeros(1 << 18, dtype=bool)
-        self.maybe[(self.terms >> np.uint64(46)).astype(np.int64)] = True
+        self.maybe = np.zeros(1 << 22, dtype=bool)
+        self.maybe[(self.terms >> np.uint64(42)).astype(np.int64)] = True
 
     def counted(self, hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, count) of every term of the vocabulary, by text and term."""
-        hit = self.maybe[(hashes >> np.uint64(46)).astype(np.int64)] if len(self.terms) else np.zeros(len(hashes), bool)
+        hit = self.maybe[(hashes >> np.uint64(42)).astype(np.int64)] if len(self.terms) else np.zeros(len(hashes), bool)
         hashes, owner = hashes[hit], owner[hit]
         if not len(hashes):
             return (np.zeros(0, np.int64),) * 3
@@ -99,22 +98,24 @@ def _texts(batches: Iterator[pa.RecordBatch]):
             yield batch.slice(a, b - a), text_terms(data, offsets)
 
 
-def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each term, by label."""
+def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each example's terms by hash, ascending, and their counts."""
     for rows, (hashes, owner) in _texts(batches):
-        toxic = rows["toxic"].to_numpy().astype(bool)
         order = np.lexsort((hashes, owner))
         hashes, owner = hashes[order], owner[order]
         new = np.ones(len(hashes), dtype=bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        terms, place = np.unique(hashes[new], return_inverse=True)
-        bad = np.bincount(place, toxic[owner[new]], len(terms)).astype(np.int64)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "term": pa.array(terms.view(np.int64)),
-                "n": pa.array(np.bincount(place, minlength=len(terms))),
-                "n_toxic": pa.array(bad),
-            }
+        first = np.flatnonzero(new)
+        counts = np.diff(np.append(first, len(hashes))).astype(np.int32)
+        cuts = np.searchsorted(owner[first], np.arange(rows.num_rows + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                rows["doc_id"],
+                rows["toxic"],
+                pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes[first].view(np.int64))),
+                pa.ListArray.from_arrays(pa.array(cuts), pa.array(counts)),
+            ],
+            ["doc_id", "toxic", "terms", "counts"],
         )
 
 
@@ -136,87 +137,126 @@ def _document_counts(shared):
     return run
 
 
-def _vectors(shared, *keep: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = shared.value
-        for rows, (hashes, owner) in _texts(batches):
-            text, terms, counts = vocabulary.counted(hashes, owner)
-            cuts = np.searchsorted(text, np.arange(rows.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(rows[name] for name in keep),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(terms.astype(np.int32))),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(counts.astype(np.int32))),
-                ],
-                [*keep, "terms", "counts"],
-            )
+class Postings:
+    """For each term the vectors that hold it, ascending, and its weights there."""
 
-    return run
+    def __init__(self, terms: np.ndarray, vectors: np.ndarray, weights: np.ndarray, n_terms: int):
+        order = np.argsort(terms, kind="stable")  # the vectors already ascend
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))])
+        self.where, self.values = vectors[order].astype(np.int32), weights[order].astype(np.float32)
+
+    def __getitem__(self, term: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.starts[term], self.starts[term + 1]
+        return self.where[a:b], self.values[a:b]
+
+    def items(self) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+        return ((term, self[term]) for term in np.flatnonzero(np.diff(self.starts)).tolist())
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers of four bytes, compressed byte by byte, as their upper bytes are mostly zero."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<i4").ravel()
 
 
 @dataclass
 class Index:
-    """Distinct example vectors in blocks, and for each term its postings and block maxima."""
+    """Distinct example vectors, for each term its postings, and the most frequent terms as a matrix."""
 
-    idf: np.ndarray
+    idf: np.ndarray  # weight of each term
     toxic: np.ndarray  # toxic examples of each vector
     total: np.ndarray  # all examples of each vector
     ids: np.ndarray  # smallest doc_id of each vector
-    postings: dict[int, tuple[np.ndarray, np.ndarray]]  # vectors that hold a term, and its weights
-    maxima: dict[int, tuple[np.ndarray, np.ndarray]]  # blocks that hold a term, and its largest weights
+    cuts: np.ndarray  # where each vector's terms begin, and their end
+    terms: np.ndarray  # of all vectors, ascending within each
+    counts: np.ndarray
     base_rate: float  # of all examples
     empty_rate: float  # of the examples without a term
     calibration: tuple[np.ndarray, np.ndarray] = (np.zeros(0), np.zeros(0))
 
+    def __getstate__(self) -> dict:
+        """Packed, as it goes to every executor; what follows from the vectors stays behind."""
+        state = {name: getattr(self, name) for name in self.__dataclass_fields__}
+        steps = np.diff(self.terms, prepend=np.int32(0)).astype("<i4")
+        steps[self.cuts[:-1]] = self.terms[self.cuts[:-1]]
+        return state | {"terms": packed(steps), "counts": packed(self.counts.astype("<i4"))}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        steps = unpacked(state["terms"], int(self.cuts[-1]))
+        sums = np.cumsum(steps, dtype=np.int64)
+        before = (sums - steps)[self.cuts[:-1]]
+        self.terms = (sums - np.repeat(before, np.diff(self.cuts))).astype(np.int32)
+        self.counts = unpacked(state["counts"], int(self.cuts[-1]))
+
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and counts."""
+        a, b = self.cuts[i], self.cuts[i + 1]
+        return self.terms[a:b], self.counts[a:b]
+
+    @cached_property
+    def postings(self) -> Postings:
+        n = len(self.total)
+        weights = [np.zeros(0, np.float32), *(self.weights(*self.vector(i)).astype(np.float32) for i in range(n))]
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.cuts))
+        return Postings(self.terms, owner, np.concatenate(weights), len(self.idf))
+
+    @cached_property
+    def often(self) -> tuple[np.ndarray, np.ndarray]:
+        """The row of each term in the matrix, or -1, and the matrix: weights by term and vector."""
+        held = np.diff(self.postings.starts)
+        often = np.argsort(-held, kind="stable")[:DENSE]
+        often = often[held[often] * 64 > len(self.total)]
+        row = np.full(len(held), -1)
+        row[often] = np.arange(len(often))
+        matrix = np.zeros((len(often), len(self.total)))
+        for i, term in enumerate(often.tolist()):
+            where, values = self.postings[term]
+            matrix[i, where] = values
+        return row, matrix
+
     def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
         return w / np.sqrt((w * w).sum())
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The vectors with the k largest cosines above 0, and these; all that tie with the last.
-
-        Blocks are scored by their upper bounds, the best first, until none can
-        reach the k-th cosine found.  `without` names a vector to leave out.
-        """
+    def cosines(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The cosine of every text, given by its terms and weights, with every vector."""
         n = len(self.total)
-        bound = np.zeros(-(-n // BLOCK) if n else 0)
-        for term, weight in zip(terms.tolist(), weights.tolist()):
-            if term in self.maxima:
-                blocks, largest = self.maxima[term]
-                bound[blocks] += weight * largest
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        found: list[np.ndarray] = []
-        cosines: list[np.ndarray] = []
-        least, held = 0.0, 0
-        for a in range(0, len(order), 8):
-            part = order[a : a + 8]
-            part = part[bound[part] >= least - 1e-9]
-            if not len(part):
-                break
-            scores = np.zeros((len(part), BLOCK))
-            for row, block in enumerate(part.tolist()):
-                low, high = block * BLOCK, (block + 1) * BLOCK
-                for term, weight in zip(terms.tolist(), weights.tolist()):
-                    if term in self.postings:
-                        where, values = self.postings[term]
-                        i, j = np.searchsorted(where, (low, high))
-                        scores[row, where[i:j] - low] += weight * values[i:j]
-            rows, columns = np.nonzero(scores > 0)
-            ids = part[rows] * BLOCK + columns
-            found.append(ids[ids != without])
-            cosines.append(scores[rows, columns][ids != without])
-            held += len(found[-1])
-            if held >= k:
-                least = float(np.partition(np.concatenate(cosines), -k)[-k])
-        ids = np.concatenate(found or [np.zeros(0, np.int64)])
-        values = np.concatenate(cosines or [np.zeros(0)])
+        rows, matrix = self.often
+        dense = np.zeros((len(texts), len(matrix)))
+        rest = np.zeros((len(texts), n))
+        for i, (terms, weights) in enumerate(texts):
+            row = rows[terms]
+            dense[i, row[row >= 0]] = weights[row >= 0]
+            terms, weights = terms[row < 0], weights[row < 0]
+            starts, ends = self.postings.starts[terms], self.postings.starts[terms + 1]
+            spans = list(zip(starts.tolist(), ends.tolist()))
+            if spans:
+                where = np.concatenate([self.postings.where[a:b] for a, b in spans])
+                values = np.concatenate([self.postings.values[a:b] for a, b in spans])
+                rest[i] = np.bincount(where, values * np.repeat(weights, ends - starts), n)
+        return rest + dense @ matrix if len(matrix) else rest
+
+    def largest(self, cosines: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The vectors with the k largest cosines above 0, and these; all that tie with the last."""
+        ids = np.flatnonzero(cosines > 0)
+        ids = ids[ids != without]
+        values = cosines[ids]
         if len(values) > k:
-            near = values >= least - 1e-9
+            near = values >= np.partition(values, -k)[-k] - 1e-9
             ids, values = ids[near], values[near]
         order = np.lexsort((self.ids[ids], -values))
         return ids[order], np.minimum(values[order], 1.0)
 
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one text; `without` names a vector to leave out."""
+        return self.largest(self.cosines([(terms, weights)])[0], k, without)
+
     def vote(self, ids: np.ndarray, cosines: np.ndarray, own: tuple[int, int, int] | None = None) -> float:
         """The neighbours' votes, nearer ones count more; own (vector, toxic, total) is taken out of its vector."""
         weight = 1 / (1.05 - cosines)
@@ -233,14 +273,18 @@ class Index:
         votes, rates = self.calibration
         return float(np.interp(vote, votes, rates)) if len(votes) else vote
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        """The calibrated score of a text, and the doc_ids of its nearest examples."""
-        if not len(terms):
-            return self.empty_rate, []
-        ids, cosines = self.nearest(terms, self.weights(terms, counts), NEIGHBOURS)
-        if not len(ids):
-            return self.empty_rate, []
-        return self.calibrated(self.vote(ids, cosines)), self.ids[ids[:3]].tolist()
+    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
+        """The calibrated score of each text, given by its terms and counts, and the doc_ids of its nearest examples."""
+        out: list[tuple[float, list[int]]] = [(self.empty_rate, [])] * len(texts)
+        some = [i for i, (terms, _) in enumerate(texts) if len(terms)]
+        for a in range(0, len(some), TOGETHER):
+            part = some[a : a + TOGETHER]
+            cosines = self.cosines([(texts[i][0], self.weights(*texts[i])) for i in part])
+            for i, own in zip(part, cosines):
+                ids, near = self.largest(own, NEIGHBOURS)
+                if len(ids):
+                    out[i] = self.calibrated(self.vote(ids, near)), self.ids[ids[:3]].tolist()
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -258,21 +302,68 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return table[:, 0], (table[:, 1] * table[:, 2] + 0.5) / (table[:, 2] + 1)
 
 
-def build_index(examples: list[tuple[int, int, np.ndarray, np.ndarray]], idf: np.ndarray) -> Index:
-    """examples: (doc_id, label, terms, counts), terms ascending."""
-    groups: dict[bytes, list] = {}
+def digest(terms: np.ndarray, counts: np.ndarray) -> bytes:
+    return hashlib.blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
+
+
+def relevance(toxic: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Relevance frequency of terms in so many toxic and other examples, 1 at least."""
+    return np.log2(2 + toxic / np.maximum(1, other))
+
+
+def own_votes(index: Index, first: int = 0, last: int | None = None) -> np.ndarray:
+    """The votes on vectors from `first` to `last`: with a toxic and with another example left out."""
+    last = len(index.total) if last is None else last
+    out = np.zeros((last - first, 2))
+    for a in range(first, last, TOGETHER):
+        texts = [index.vector(i) for i in range(a, min(a + TOGETHER, last))]
+        for i, cosines in enumerate(index.cosines([(terms, index.weights(terms, counts)) for terms, counts in texts]), a):
+            near = index.largest(cosines, NEIGHBOURS)
+            out[i - first] = [index.vote(*near, (i, label, 1)) for label in (1, 0)]
+    return out
+
+
+def dealt_votes(spark: SparkSession) -> Callable[[Index], np.ndarray]:
+    """The same for all vectors, computed by the executors."""
+
+    def votes(index: Index) -> np.ndarray:
+        shared = spark.sparkContext.broadcast(index)
+        n = len(index.total)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for a in batch["id"].to_pylist():
+                    own = own_votes(shared.value, a, min(a + TOGETHER, n))
+                    yield pa.RecordBatch.from_pydict(
+                        {"vector": pa.array(np.arange(a, a + len(own))), "toxic": pa.array(own[:, 0]), "other": pa.array(own[:, 1])}
+                    )
+
+        groups = spark.range(0, n, TOGETHER, shuffle_partitions(spark))
+        found = groups.mapInArrow(run, "vector long, toxic double, other double").toArrow().sort_by("vector")
+        shared.unpersist()
+        return np.stack([found["toxic"].to_numpy(), found["other"].to_numpy()], axis=1)
+
+    return votes
+
+
+def build_index(
+    examples: list[tuple[int, int, np.ndarray, np.ndarray]],
+    idf: np.ndarray,
+    votes: Callable[[Index], np.ndarray] = own_votes,
+) -> Index:
+    """examples: (doc_id, label, terms, counts), terms ascending; votes: own_votes or the like."""
+    groups: dict[bytes, list] = {}  # by digest
     empty = [0, 0]
     for doc_id, toxic, terms, counts in examples:
         if not len(terms):
             empty[0] += toxic
             empty[1] += 1
             continue
-        group = groups.setdefault(terms.tobytes() + counts.tobytes(), [terms, counts, 0, 0, doc_id])
+        group = groups.setdefault(digest(terms, counts), [terms, counts, 0, 0, doc_id])
         group[2] += toxic
         group[3] += 1
         group[4] = min(group[4], doc_id)
-    # Vectors that share their rarest terms lie in the same blocks.
-    distinct = sorted(groups.values(), key=lambda g: (sorted(g[0].tolist(), key=lambda t: -idf[t]), g[4]))
+    distinct = sorted(groups.values(), key=lambda g: g[4])
     everything = max(1, sum(g[3] for g in distinct) + empty[1])
     base = (sum(g[2] for g in distinct) + empty[0]) / everything
     index = Index(
@@ -280,34 +371,18 @@ def build_index(examples: list[tuple[int, int, np.ndarray, np.ndarray]], idf: np
         np.array([g[2] for g in distinct], dtype=np.int64),
         np.array([g[3] for g in distinct], dtype=np.int64),
         np.array([g[4] for g in distinct], dtype=np.int64),
-        {},
-        {},
+        np.cumsum([0, *(len(g[0]) for g in distinct)]),
+        np.concatenate([np.zeros(0, np.int32), *(g[0] for g in distinct)]).astype(np.int32),
+        np.concatenate([np.zeros(0, np.int32), *(g[1] for g in distinct)]).astype(np.int32),
         base,
         (empty[0] + base) / (empty[1] + 1),
     )
-    postings: dict[int, list] = defaultdict(list)
-    vectors = []
-    for i, (terms, counts, *_) in enumerate(distinct):
-        weights = index.weights(terms, counts)
-        vectors.append((terms, weights))
-        for term, weight in zip(terms.tolist(), weights.tolist()):
-            postings[term].append((i, weight))
-    for term, rows in postings.items():
-        where, values = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
-        blocks, first = np.unique(where // BLOCK, return_index=True)
-        index.postings[term] = where, values
-        index.maxima[term] = blocks, np.maximum.reduceat(values, first)
-    votes, labels, sizes = [], [], []
-    for i, (terms, weights) in enumerate(vectors):
-        ids, cosines = index.nearest(terms, weights, NEIGHBOURS)
-        toxic, total = int(index.toxic[i]), int(index.total[i])
-        for label, n in ((1, toxic), (0, total - toxic)):
-            if n:
-                votes.append(index.vote(ids, cosines, (i, label, 1)))
-                labels.append(label)
-                sizes.append(n)
-    if votes:
-        index.calibration = isotonic(np.array(votes), np.array(labels, float), np.array(sizes, float))
+    if not distinct:
+        return index
+    own = votes(index)
+    label = np.tile([1.0, 0.0], len(distinct))
+    size = np.stack([index.toxic, index.total - index.toxic], axis=1).ravel().astype(float)
+    index.calibration = isotonic(own.ravel()[size > 0], label[size > 0], size[size > 0])
     return index
 
 
@@ -321,7 +396,7 @@ def is_held_out(modulus: int = 4, held: int = 2) -> Column:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Vocabulary, Index]:
-    """Learn terms and examples from documents whose labels may be learned from.
+    """Learn examples and the weights of their terms from documents whose labels may be learned from.
 
     At most `sample` labelled documents are used, the first by a hash of doc_id.
     How rare a term is counts over all documents.
@@ -340,47 +415,36 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[
     )
     # `sample` rows of two numbers.
     examples = texts.join(F.broadcast(spark.createDataFrame(known.toArrow())), "doc_id")
-    counted = (
-        examples.mapInArrow(_term_counts, "term long, n long, n_toxic long")
-        .groupBy("term")
-        .agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+    found = (
+        examples.mapInArrow(_example_terms, "doc_id long, toxic int, terms array<long>, counts array<int>")
+        .limit(4 * sample)
+        .toArrow()
+        .combine_chunks()
     )
-    size = examples.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    n, bad = int(size[0] or 0), int(size[1] or 0)
-    terms = np.zeros(0, np.uint64)
-    if 0 < bad < n:
-        a, b = F.col("n_toxic").cast("double"), (F.col("n") - F.col("n_toxic")).cast("double")
-        good = float(n - bad)
-        chi = n * (a * (good - b) - b * (bad - a)) ** 2 / ((a + b) * (n - a - b) * bad * good)
-        chosen = (
-            counted.where((F.col("n") >= LEAST_EXAMPLES) & (F.col("n") < n))
-            .where(a / (a + b) >= min(LEAST_LIFT * bad / n, (1 + bad / n) / 2))
-            .select("term", chi.alias("chi"))
-            .where(F.col("chi") >= LEAST_CHI_SQUARED)
-            .orderBy(F.desc("chi"), "term")
-            .limit(TERMS)
-            .toArrow()
-        )
-        terms = chosen["term"].to_numpy().view(np.uint64)
-    vocabulary = Vocabulary(terms)
+    hashes = found["terms"].combine_chunks().flatten().to_numpy().view(np.uint64)
+    vocabulary = Vocabulary(np.unique(hashes))
+    terms = vocabulary.terms
     shared = spark.sparkContext.broadcast(vocabulary)
     counts = texts.mapInArrow(_document_counts(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(terms), dtype=np.int64)
-    total = 0
-    for row in counts.toArrow().to_pylist():
-        if row["term"] < 0:
-            total = row["n"]
-        else:
-            frequency[row["term"]] = row["n"]
-    idf = np.log((total + 1) / (frequency + 1)) + 1
-    vectors = examples.mapInArrow(
-        _vectors(shared, "doc_id", "toxic"), "doc_id long, toxic int, terms array<int>, counts array<int>"
-    ).limit(4 * sample).toArrow()
+    known_counts = counts.toArrow()
+    term, n = known_counts["term"].to_numpy(), known_counts["n"].to_numpy()
+    total = int(n[term < 0].sum())
+    frequency[term[term >= 0]] = n[term >= 0]
+    places = np.searchsorted(terms, hashes).astype(np.int32)
+    lengths = found["terms"].combine_chunks().value_lengths().to_numpy()
+    doc_ids, toxic = found["doc_id"].to_pylist(), found["toxic"].to_numpy()
+    numbers = found["counts"].combine_chunks().flatten().to_numpy().copy()
+    del found, hashes
+    bad = np.bincount(places, np.repeat(toxic, lengths), len(terms))
+    good = np.bincount(places, minlength=len(terms)) - bad
+    idf = (np.log((total + 1) / (frequency + 1)) + 1) * relevance(bad, good)
+    cuts = np.concatenate([[0], np.cumsum(lengths)]).tolist()
     rows = [
-        (r["doc_id"], r["toxic"], np.array(r["terms"], np.int64), np.array(r["counts"], np.int64))
-        for r in vectors.to_pylist()
+        (doc_id, label, places[a:b], numbers[a:b])
+        for doc_id, label, a, b in zip(doc_ids, toxic.tolist(), cuts[:-1], cuts[1:])
     ]
-    return vocabulary, build_index(rows, idf)
+    return vocabulary, build_index(rows, idf, dealt_votes(spark))
 
 
 def _scored(shared, *keep: str):
@@ -390,15 +454,14 @@ def _scored(shared, *keep: str):
         for rows, (hashes, owner) in _texts(batches):
             text, terms, counts = vocabulary.counted(hashes, owner)
             cuts = np.searchsorted(text, np.arange(rows.num_rows + 1))
-            scores, evidence = [], []
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                key = terms[a:b].tobytes() + counts[a:b].tobytes()
-                if key not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    known[key] = index.score(terms[a:b], counts[a:b])
-                scores.append(known[key][0])
-                evidence.append(known[key][1])
+            own = [(terms[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+            keys = [digest(t, c) for t, c in own]
+            if len(known) > 50_000:
+                known.clear()
+            new = {key: text for key, text in zip(keys, own) if key not in known}
+            known.update(zip(new, index.scores(list(new.values()))))
+            scores = [known[key][0] for key in keys]
+            evidence = [known[key][1] for key in keys]
             yield pa.RecordBatch.from_arrays(
                 [*(rows[name] for name in keep), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
                 [*keep, "score", "evidence"],
