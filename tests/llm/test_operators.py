@@ -472,6 +472,15 @@ def test_a_copy_of_an_example_is_its_nearest(spark):
     assert [rows[h].evidence[0] for h in held] == learn[: len(held)]
 
 
+def test_a_repeated_document_is_one_example(spark):
+    learn = [d for d in range(80) if zlib.crc32(str(d).encode()) % 4 != 2]
+    rows = [(learn[0], f"copy{i} alone") for i in range(200)] + [(d, f"own{d} plain{d}") for d in learn[1:]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = labels(spark, [(d, None, d % 2, None) for d in learn])
+    _, index = toxicity_neighbours.fit(docs, known, sample=len(learn))
+    assert index.total.sum() == len(learn) and set(index.ids.tolist()) == set(learn)
+
+
 def test_toxicity_without_labels(spark, odd):
     rows = toxicity_neighbours.toxicity(odd, labels(spark)).collect()
     assert len(rows) == odd.count() and {(r.score, r.predicted) for r in rows} == {(0.0, 0)}

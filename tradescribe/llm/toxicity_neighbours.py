@@ -399,7 +399,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[
     """Learn examples and the weights of their terms from documents whose labels may be learned from.
 
     At most `sample` labelled documents are used, the first by a hash of doc_id.
-    How rare a term is counts over all documents.
+    Of a doc_id that repeats, the smallest text is the example.  How rare a term
+    is counts over all documents.
     """
     spark = documents.sparkSession
     ship_package(spark)
@@ -413,11 +414,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[
         .orderBy(F.xxhash64("doc_id"))
         .limit(sample)
     )
-    # `sample` rows of two numbers.
-    examples = texts.join(F.broadcast(spark.createDataFrame(known.toArrow())), "doc_id")
+    # `sample` rows of two numbers, and one example of each.
+    chosen = texts.join(F.broadcast(spark.createDataFrame(known.toArrow())), "doc_id")
+    examples = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     found = (
         examples.mapInArrow(_example_terms, "doc_id long, toxic int, terms array<long>, counts array<int>")
-        .limit(4 * sample)
         .toArrow()
         .combine_chunks()
     )
