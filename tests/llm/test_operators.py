@@ -329,6 +329,17 @@ def test_packed_documents(spark, odd):
     assert len(sequences) <= 1.02 * -(-sum(r.length for r in rows) // 256) + 1
 
 
+def test_packed_documents_with_the_special_token(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"{end}x", f"x  {end}\n y", "<|endoftext", f"<|endof{end}text|>", f"<{end}>", f"don{end}'t", "<|ENDOFTEXT|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: (r.length, r.ids_crc32) for r in pattern_packing.packed(docs).collect()}
+    for d, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+        assert rows[d] == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
 # Secrets
 
 

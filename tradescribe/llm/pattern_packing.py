@@ -29,12 +29,14 @@ import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
-from tradescribe.llm.byte_bpe import byte_bpe
+from tradescribe.llm.byte_bpe import ByteBpe, byte_bpe
 from tradescribe.llm.tables import numbered, ship_package, stored
 
 CAPACITY = 2048
 GRID = 16
 END_OF_TEXT = 0
+# The one added token of the file of the tokenizers library.
+SPECIAL_TEXT, SPECIAL_ID = "<|endoftext|>", 50256
 # How much of the fitted counts the patterns take; best fit needs some of all lengths to finish with.
 PATTERN_SHARE = 0.75
 
@@ -243,6 +245,15 @@ def plan_ranges(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray
     return {name: table[:, i] for i, name in enumerate(("length", "first", "sequence", "offset"))}
 
 
+def encoded_ids(bpe: ByteBpe, text: str) -> list[int]:
+    """The ids that the tokenizers library gives: its special token splits the text and is one id."""
+    parts = text.split(SPECIAL_TEXT)
+    ids = bpe.encode(parts[0])
+    for part in parts[1:]:
+        ids += [SPECIAL_ID, *bpe.encode(part)]
+    return ids
+
+
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -251,14 +262,15 @@ def cut_points(n: int, capacity: int) -> list[int]:
     return [0, *range(n % capacity or capacity, n, capacity)]
 
 
-def _pieces(path: str, pattern: str, capacity: int):
+def _pieces(path: str, pattern: str, capacity: int, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(path, pattern)
         for batch in batches:
-            ids, texts = batch["doc_id"].to_pylist(), batch["text"]
+            ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()
             columns: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(ids, texts):
-                tokens = np.array([*bpe.encode(text.as_py()), END_OF_TEXT], dtype="<u4")
+                own = encoded_ids(bpe, text) if special else bpe.encode(text)
+                tokens = np.array([*own, END_OF_TEXT], dtype="<u4")
                 cuts = cut_points(len(tokens), capacity)
                 for k, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(tokens)])):
                     for column, value in zip(columns, (doc_id, k, a, b - a, zlib.crc32(tokens[a:b].tobytes()))):
@@ -297,8 +309,9 @@ def packed(
 
     A document is its text's ids, then id 0.  Only one longer than the capacity
     is cut; all its pieces but the first are of full length.  The ranks hold the
-    same vocabulary as the file of the tokenizers library, and so give its ids
-    with special tokens' strings read as ordinary text.
+    same vocabulary as the file of the tokenizers library, whose added token
+    <|endoftext|> is recognised as there, and so give its ids.  Other ranks have
+    no special token.
 
     A null text counts as empty and is the one id 0.  Repeated rows are packed
     each.  Other columns are not read; an empty table gives no rows.
@@ -309,7 +322,7 @@ def packed(
     ship_package(spark)
     path = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
     texts = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    pieces = stored(texts.mapInArrow(_pieces(path, pattern, capacity), _PIECES), "packing-pieces")
+    pieces = stored(texts.mapInArrow(_pieces(path, pattern, capacity, special=ranks is None), _PIECES), "packing-pieces")
     # One row for each length, so at most `capacity` of them.
     lengths = pieces.groupBy("length").count().toArrow()
     histogram = np.zeros(capacity + 1, dtype=np.int64)
