@@ -236,6 +236,30 @@ def test_vector_recall(spark):
     assert found >= 0.99 * len(rows)
 
 
+def test_vector_recall_in_a_large_and_in_a_clustered_label(spark):
+    """Planted pairs of cosine 0.93 to 0.95, checked by brute force."""
+    random = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    centre = unit(random.standard_normal((1, 64)))
+    parts = []
+    for shift in (0.0, 1.3):
+        vectors = unit(unit(random.standard_normal((12_000, 64))) + shift * centre)
+        first = vectors[:400]
+        across = random.standard_normal(first.shape)
+        across = unit(across - (across * first).sum(axis=1, keepdims=True) * first)
+        cosine = random.uniform(0.9301, 0.95, (400, 1))
+        parts.append(np.concatenate([vectors, cosine * first + np.sqrt(1 - cosine**2) * across]))
+    rows = [(12_400 * label + i, label, v.tolist()) for label, part in enumerate(parts) for i, v in enumerate(part)]
+    docs = spark.createDataFrame(rows, "vec_id long, label long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in vector_neighbours.near_vectors(docs).collect()}
+    for label, part in enumerate(parts):
+        links = (part @ part.T >= vector_neighbours.THRESHOLD).sum(axis=1) - 1
+        linked = np.flatnonzero(links)
+        recall = np.mean([found[12_400 * label + i] == links[i] for i in linked])
+        print("recall", label, recall, len(linked))
+        assert len(linked) >= 800 and recall >= 0.99
+
+
 # Language-model scores
 
 

@@ -4,7 +4,9 @@ Each pass hashes a vector to the signs of random projections, written one after
 the other, and orders all vectors of a label by these bits.  Near vectors share
 their first bits in some pass and then stand close together, so every vector is
 compared with the next few in order, and the links found are united over all
-passes.
+passes.  How many leading bits single out a vector's window is measured for each
+label.  Two vectors at an angle share so many bits with a known probability,
+and from it follow the label's passes, for a stated share of missed pairs.
 
 The windows connect a group of near copies of any size, but do not see every
 pair in it.  So all vectors of a connected group are compared at the end, as
@@ -25,7 +27,10 @@ from tradescribe.llm.components import UnionFind, components
 from tradescribe.llm.tables import numbered, ship_package, shuffle_partitions, stored
 
 THRESHOLD = 0.93
+# Passes of every label, at least; one that needs more to miss so few pairs at the threshold has more.
 PASSES = 24
+MISSED = 0.001
+MEASURED = 2  # passes that measure it
 WINDOW = 12
 BITS = 48
 SEED = 20240501
@@ -59,29 +64,67 @@ def units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, usable
 
 
-def _keys(batches: Iterator[pa.RecordBatch], passes: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """A row for each pass and vector, with the signs of the pass's projections as the sort key."""
-    planes: dict[int, np.ndarray] = {}
+def _keys(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """A row for each of its passes and vector, with the signs of the pass's projections as the sort key."""
+    planes: dict[tuple[int, int], np.ndarray] = {}
+    weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
     for batch in batches:
         vectors, usable = units(batch["embedding"])
-        rows = np.flatnonzero(usable)
-        if not len(rows):
-            continue
+        passes = np.where(usable, batch["passes"].to_numpy(), 0)
         width = vectors.shape[1]
-        if width not in planes:
-            random = np.random.default_rng([SEED, width])
-            planes[width] = random.standard_normal((width, passes * bits))
-        signs = vectors[rows] @ planes[width] > 0
-        weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
-        part = batch.select(["label", "vec", "embedding"]).take(pa.array(rows))
-        for k in range(passes):
-            key = signs[:, k * bits : (k + 1) * bits] @ weights
+        for k in range(int(passes.max(initial=0))):
+            if (width, k) not in planes:
+                planes[width, k] = np.random.default_rng([SEED, width, k]).standard_normal((width, bits))
+            rows = np.flatnonzero(passes > k)
+            key = (vectors[rows] @ planes[width, k] > 0) @ weights
+            part = batch.select(["label", "vec", "embedding"]).take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(rows), k, np.int32)), part["label"], pa.array(key), part["vec"], part["embedding"]],
                 ["pass", "label", "key", "vec", "embedding"],
             )
 
 
+def _depths(batches: Iterator[pa.RecordBatch], threshold: float, window: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """How many vectors of a label need so many leading bits until all that share them are in the window.
+
+    A vector as far away as the window reaches that is itself a near copy does
+    not count: the windows link it along the order.
+    """
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        n = rows.num_rows
+        depth = np.zeros(n, dtype=np.int64)
+        if n > window:
+            vectors, _ = units(rows["embedding"])
+            where, key = _same_list(rows), rows["key"].to_numpy()
+            apart = np.einsum("ij,ij->i", vectors[:-window], vectors[window:]) < threshold
+            apart &= where[:-window] == where[window:]
+            differ = np.frexp((key[:-window] ^ key[window:]).astype(float))[1]
+            shared = np.where(apart, np.minimum(bits - differ + 1, bits), 0)
+            depth[:-window] = shared
+            depth[window:] = np.maximum(depth[window:], shared)
+        pairs, counts = np.unique(np.stack([rows["label"].to_numpy(), depth]), axis=1, return_counts=True)
+        yield pa.RecordBatch.from_pydict({"label": pa.array(pairs[0]), "depth": pa.array(pairs[1]), "n": pa.array(counts)})
+
+
+def needed_passes(depth: np.ndarray, n: np.ndarray, threshold: float, missed: float) -> int:
+    """Passes after which a pair at the threshold is expected in no window with a probability of at most `missed`."""
+    found = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** depth
+    miss = lambda passes: float((n * (1 - found) ** passes).sum() / n.sum())
+    low, high = 0, 1
+    while miss(high) > missed:
+        low, high = high, 2 * high
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if miss(middle) > missed else (low, middle)
+    return high
+
+
+def _passes(table: pa.Table, threshold: float, missed: float) -> pa.Table:
+    n = needed_passes(table["depth"].to_numpy(), table["n"].to_numpy(), threshold, missed)
+    return pa.table({"of": table["label"][:1], "needed": pa.array([n], pa.int32())})
+
+
 def _same_list(rows: pa.Table) -> np.ndarray:
     """A number for each pass and label in turn."""
     labels, passes = rows["label"].to_numpy(), rows["pass"].to_numpy()
@@ -191,6 +234,7 @@ def near_vectors(
     window: int = WINDOW,
     bits: int = BITS,
     block: int = BLOCK,
+    missed: float = MISSED,
 ) -> DataFrame:
     """Each vector's links: vec_id, n_links, component_id, kept.
 
@@ -199,6 +243,8 @@ def near_vectors(
     linked directly, component_id is the smallest vec_id reachable, and kept
     marks the vector that bears it.  Passes are probabilistic: a link between
     groups that no pass brings within the window is missed, and none is invented.
+    Every label has `passes` at least, and as many as a pair at the threshold
+    needs to be missed with a probability of about `missed`.
 
     A vector that is null, empty or zero or holds a null or a number that is not
     finite links with nothing, nor does one with a null label or of another
@@ -222,12 +268,28 @@ def near_vectors(
     )
 
     partitions = shuffle_partitions(spark)
-    keyed = classes.select("label", "vec", "embedding").mapInArrow(
-        partial(_keys, passes=passes, bits=bits),
-        f"pass int, label long, key long, vec long, embedding {kind}",
+
+    def ordered_by_keys(vectors: DataFrame) -> DataFrame:
+        keyed = vectors.select("label", "vec", "embedding", "passes").mapInArrow(
+            partial(_keys, bits=bits), f"pass int, label long, key long, vec long, embedding {kind}"
+        )
+        order = "pass", "label", "key", "vec"
+        return keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+
+    needed = stored(
+        ordered_by_keys(classes.withColumn("passes", F.lit(min(MEASURED, passes))))
+        .mapInArrow(partial(_depths, threshold=threshold, window=window, bits=bits), "label long, depth long, n long")
+        .groupBy("label", "depth")
+        .agg(F.sum("n").alias("n"))
+        .groupBy("label")
+        .applyInArrow(lambda table: _passes(table, threshold, missed), "of long, needed int")
+        .where(F.col("needed") > passes),
+        "vectors-passes",
     )
-    ordered = keyed.repartitionByRange(partitions, "pass", "label", "key", "vec").sortWithinPartitions(
-        "pass", "label", "key", "vec"
+    ordered = ordered_by_keys(
+        classes.join(needed, F.col("label") == F.col("of"), "left").withColumn(
+            "passes", F.coalesce("needed", F.lit(passes))
+        )
     )
     found = stored(
         ordered.mapInArrow(
