@@ -10,6 +10,7 @@ from tradescribe.llm import (
     backoff_scores,
     blob_ledger,
     byte_bpe,
+    conversation_repair,
     decision_lists,
     jaccard_join,
     jump_sharding,
@@ -64,6 +65,10 @@ def op10_subword_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_language.languages(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repairs(_table(spark, sf_dir, "conversations"), damage=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity_neighbours,
         op9_jump_sharding,
         op10_subword_language,
+        op11_conversation_repair,
     )
 }
 
@@ -111,5 +117,93 @@ SELECT d.doc_id, count(s.score) AS n_words, CAST(coalesce(sum(s.cut), 0) AS BIGI
     round(avg(s.score), 6) AS mean_log_score
 FROM documents d LEFT JOIN scored s ON s.doc_id = d.doc_id
 GROUP BY d.doc_id
+""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE crc AS (
+    SELECT list(list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i)
+),
+fates AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(4294967295, list_reduce(
+            [4294967295] || list_transform(
+                string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                lambda x: CAST(ascii(x) AS BIGINT)),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS fate
+    FROM conversations, crc
+),
+hurt AS (
+    SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM fates, range(2) r(copy) WHERE fate <> 0 AND (copy = 0 OR fate = 3)
+),
+sorted AS (
+    SELECT *, row_number() OVER turns AS i, left(role, 1) AS initial, lag(left(role, 1)) OVER turns AS before
+    FROM hurt WINDOW turns AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        NOT regexp_matches(text, '{_WORDS}') AS blank,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') AS cut
+    FROM sorted
+),
+facts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+        count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+        count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM placed GROUP BY conv_id
+),
+inserts(a, ins, b) AS (
+    VALUES (0, '', 0), (0, 'I', 2), (0, 'II', 3), (1, '', 1), (1, 'I', 2), (1, 'II', 3), (2, '', 2), (2, 'I', 3), (3, '', 3), (3, 'I', 2)
+),
+steps(a, side, b) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)),
+ways AS (
+    SELECT conv_id, i, ins.a AS a, coalesce(s.b, ins.b) AS b,
+        5 * length(ins) + CASE edit WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN cut AND edit <> 'D' THEN 5 ELSE 0 END AS cost,
+        ins || edit AS letters
+    FROM placed, inserts ins, (VALUES ('D'), ('K'), ('R')) e(edit)
+    LEFT JOIN steps s ON s.a = ins.b AND edit <> 'D'
+    WHERE edit = 'D' OR (NOT blank AND NOT again AND s.b IS NOT NULL
+        AND ((edit = 'K' AND side = initial) OR (edit = 'R' AND side <> 's' AND side <> initial)))
+),
+best(conv_id, i, state, cost, audit) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, CAST(0 AS BIGINT), '' FROM conversations
+    UNION ALL
+    SELECT conv_id, i, state, cost, audit FROM (
+        SELECT b.conv_id, w.i, w.b AS state, b.cost + w.cost AS cost, b.audit || w.letters AS audit,
+            row_number() OVER (PARTITION BY b.conv_id, w.b ORDER BY b.cost + w.cost, b.audit || w.letters) AS place
+        FROM best b JOIN ways w ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND w.i = b.i + 1 AND w.a = b.state
+    ) WHERE place = 1
+),
+chosen AS (
+    SELECT b.conv_id, b.cost + 5 * length(ins) AS cost, b.audit || ins AS audit,
+        row_number() OVER (PARTITION BY b.conv_id ORDER BY b.cost + 5 * length(ins), b.audit || ins) AS place,
+        length(b.audit || ins) - length(replace(b.audit || ins, 'D', '')) AS deleted
+    FROM best b JOIN inserts ON inserts.a = b.state AND inserts.b IN (0, 3)
+    LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM b.conv_id
+    WHERE b.i = coalesce(f.n, 0)
+),
+letters AS (
+    SELECT conv_id, letter, p, (length(audit) - deleted) % 2 AS odd,
+        count(*) FILTER (letter <> 'I') OVER so_far AS i, count(*) FILTER (letter <> 'D') OVER so_far AS k
+    FROM (SELECT *, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS p
+          FROM chosen WHERE place = 1 AND audit <> '')
+    WINDOW so_far AS (PARTITION BY conv_id ORDER BY p)
+),
+digests AS (
+    SELECT l.conv_id, sha256(string_agg(
+        CASE letter WHEN 'K' THEN r.role ELSE CASE WHEN (k - 1 + odd) % 2 = 0 THEN 'user' ELSE 'assistant' END END
+            || ':' || CASE letter WHEN 'I' THEN '' ELSE r.text END, chr(10) ORDER BY l.p)) AS digest
+    FROM letters l JOIN placed r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = greatest(l.i, 1)
+    WHERE letter <> 'D' GROUP BY l.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(c.cost AS BIGINT) AS cost, c.audit,
+    coalesce(digest, sha256('')) AS repaired_sha256
+FROM chosen c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+WHERE c.place = 1
 """,
 }
