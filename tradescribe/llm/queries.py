@@ -15,6 +15,7 @@ from tradescribe.llm import (
     jaccard_join,
     jump_sharding,
     pattern_packing,
+    ranked_search,
     subword_language,
     toxicity_neighbours,
     vector_neighbours,
@@ -69,6 +70,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repairs(_table(spark, sf_dir, "conversations"), damage=True)
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_jump_sharding,
         op10_subword_language,
         op11_conversation_repair,
+        op13_ranked_search,
     )
 }
 
@@ -205,5 +211,36 @@ FROM chosen c
 LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN digests d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
 WHERE c.place = 1
+""",
+    "op13_ranked_search": r"""
+WITH words AS (
+    SELECT doc_id, part, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT doc_id, text, row_number() OVER () AS part FROM documents)
+),
+counts AS (SELECT doc_id, part, term, count(*) AS tf FROM words GROUP BY doc_id, part, term),
+sizes AS (SELECT part, sum(tf) AS n FROM counts GROUP BY part),
+totals AS (SELECT count(*) AS n, sum(n) AS l FROM sizes),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(t.n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, totals t GROUP BY term
+),
+asked AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+),
+scored AS (
+    SELECT a.item_id, c.doc_id, c.part, sum(w.w * (
+        (1000000000 * c.tf) // (1000 * c.tf + 8 * (100 - 75 + ((75 * s.n * t.n) // t.l))))) AS score
+    FROM asked a JOIN counts c ON c.term = a.term JOIN weights w ON w.term = c.term
+    JOIN sizes s ON s.part = c.part, totals t
+    GROUP BY a.item_id, c.doc_id, c.part
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+WHERE place <= 10
 """,
 }
