@@ -15,6 +15,7 @@ from tradescribe.llm import (
     jaccard_join,
     jump_sharding,
     pattern_packing,
+    personal_data,
     ranked_search,
     subword_language,
     toxicity_neighbours,
@@ -70,6 +71,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repairs(_table(spark, sf_dir, "conversations"), damage=True)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_jump_sharding,
         op10_subword_language,
         op11_conversation_repair,
+        op12_personal_data,
         op13_ranked_search,
     )
 }
