@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradescribe.operators.counterparty import match_table, attach_match, relevant_counterparties, with_match_keys
-from tradescribe.operators.schedule import frequencies, notionals, notional_flows
+from tradescribe.operators.schedule import elements_that_fit, frequencies, listed_prefixes, notional_flows, notionals
 from tradescribe.operators.trades import base_trades
 from tradescribe.plans.consumer import buyers
 from tradescribe.plans.report import publish, report
@@ -257,3 +257,61 @@ def test_copies_of_one_trade_are_sorted_in_pieces(spark, stored):
         rows.PIECE = piece
     assert sum(per_task) == trades.count()
     assert len(per_task) > 1 and max(per_task) < sum(per_task) / 2
+
+
+def spread_trade(spark, tasks, rows):
+    """One trade, half of whose flows are twins, in so many map tasks, and a small one."""
+    one = {"NB": "'1'", "THD_VALUE_DATE": "DATE '1998-03-01'", "TRN_GRP": "'IRS'"}
+    trades = spark.range(2).selectExpr(
+        *[f"CAST({'id + 1' if f.name == 'NB' else one.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.TRADES]
+    )
+    flow = {
+        "NB": "if(id % 1000 = 7, '2', '1')",
+        "FFL_VALUE_DATE": "DATE '1998-03-01'",
+        "LEGSTEP": "if(id % 2 = 0, 5, id % 100)",
+        "DT_LEG0": "0",
+        "DATE2": "DATE '1998-04-01'",
+        "DATE4": "DATE '1998-05-01'",
+        "DT_CAPREM0": "if(id % 2 = 0, 10, id)",
+        "FIXVAR": "'F1'",
+        "FIXVAR1": "'F'",
+        "AMORTFLAG": "'Y'",
+        "EQDSIDE": "'N'",
+    }
+    flows = spark.range(0, tasks * rows, 1, tasks).selectExpr(
+        *[f"CAST({flow[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.FIXFLOWS]
+    )
+    return base_trades(trades), T.normal_fixflows(flows)
+
+
+def test_the_list_of_a_trade_in_many_tasks_merges_in_levels(spark):
+    """Its last task reads two prefixes, and the list is the one of all flows in order."""
+    trades, flows = spread_trade(spark, 200, 2_100)
+    most = elements_that_fit(4_000)
+    # Straight from 200 tasks, as a broadcast of the trades gives them.
+    copies = {"HOT": F.col("NB") == "1", "COPIES": F.lit(1).cast("long")}
+    few, hot = listed_prefixes(notional_flows(flows).withColumns(copies), most)
+    parts = {(r.NB, r.PART): r["count"] for r in hot.groupBy("NB", "PART").count().collect()}
+    assert set(parts) == {("1", 0), ("1", 1)} and max(parts.values()) <= most
+    assert {r.NB for r in few.select("NB").distinct().collect()} == {"2"}
+    lists = {r.NB: r.CONCAT_CAPREM0 for r in notionals(trades, flows).collect()}
+    # Every hundredth flow has step 0; these come before step 1 and are even, so step 5 holds them all.
+    odd = sorted((i % 100, i) for i in range(200 * 2_100) if i % 2 and i % 1_000 != 7)
+    expected = [str(i) for step, i in odd if step < 5][: most]
+    text = ",".join(expected)
+    assert lists["1"] == text[:3_997][: text[:3_997].rfind(",") + 1] + "..."
+    assert lists["2"].startswith("7,1007,2007,")
+
+
+def test_hot_and_plain_trades_have_the_same_lists(spark, stored):
+    """Whatever counts as hot."""
+    trades, flows = base_trades(stored[0]), T.normal_fixflows(stored[2])
+    assert fingerprint(notionals(trades, flows, cap=20, hot=0)) == fingerprint(notionals(trades, flows, cap=20))
+
+
+def test_plain_trades_meet_in_one_shuffle(stored):
+    """The flows of trades that are not hot are shuffled to the list once: the levels read the same exchange."""
+    df = notionals(base_trades(stored[0]), T.normal_fixflows(stored[2]))
+    df.collect()
+    final = plan(df).split("+- == Initial Plan ==")[0]
+    assert "ReusedExchange" in final or final.count("WindowGroupLimit") <= 2

@@ -90,31 +90,45 @@ def cut_list(text: Column, cap: int) -> Column:
     return F.when(F.octet_length(text) > cap, F.concat(whole, F.lit(K.LIST_ELLIPSIS))).otherwise(text)
 
 
-def notionals(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP) -> DataFrame:
-    """Comma-separated notionals per trade number, in schedule order.
+# A trade with more listed flows than this is merged in levels.
+HOT_FLOWS = 16_000
 
-    The list spans all value dates of a trade number, as it is attached by
-    number alone.  Flows of one step are ordered by value date, leg, start date
-    and amount.
+# Parts that the map tasks' prefixes of such a trade merge into, level by level; the last two make one.
+LEVELS = (256, 16, 2)
 
-    Only the elements that can fit are kept, which changes no list: the cut
-    looks at no element behind them.  The rank filter works inside the map
-    tasks first, so even a trade that owns a third of all flows sends a bounded
-    number of them through the shuffle.  The flows come into the join straight
-    from their shuffle (the null-safe comparison gives the trade side its own),
-    which lets adaptive execution split such a trade there as well.
+
+def hot_trades(fixflows: DataFrame, most: int, hot: int = HOT_FLOWS) -> DataFrame:
+    """Trade numbers with more listed flows than ``hot``, and than a few prefixes have."""
+    counted = notional_flows(fixflows).groupBy("NB").agg(F.count(F.lit(1)).alias("FLOWS"))
+    return counted.where(F.col("FLOWS") > max(hot, 8 * most)).select(F.col("NB").alias("HOT_TRADE"))
+
+
+def listed_flows(
+    trades: DataFrame, fixflows: DataFrame, most: int, *, by_trade: bool = False, hot: int = HOT_FLOWS
+) -> DataFrame:
+    """Flows of the reported trades with the trade's copies, and whether the trade is hot.
+
+    The flows come into the join straight from their shuffle (the null-safe
+    comparison gives the trade side its own), which lets adaptive execution
+    split a hot trade there.  ``by_trade`` leaves that out: flows laid out by
+    trade number then need no shuffle.
     """
-    most = elements_that_fit(cap)
-    bounded_groups(trades.sparkSession, most)
     copies = trade_copies(trades).select(
         F.col("NB").alias("TRADE"), F.col("DAY").alias("TRADE_DAY"), "COPIES", "STEP_COPIES"
     )
     # A count of steps is never negative; the filter keeps the column in the plan, where it can be shared.
     copies = copies.where(F.col("STEP_COPIES") >= 0)
-    listed = notional_flows(fixflows).join(
-        copies, F.col("NB").eqNullSafe(F.col("TRADE")) & (_flow_day() == F.col("TRADE_DAY"))
+    hot_ones = hot_trades(fixflows, most, hot)
+    copies = copies.join(hot_ones, F.col("TRADE") == F.col("HOT_TRADE"), "left").withColumn(
+        "HOT", F.col("HOT_TRADE").isNotNull()
     )
-    in_order = Window.partitionBy("NB").orderBy(
+    number = F.col("NB") == F.col("TRADE") if by_trade else F.col("NB").eqNullSafe(F.col("TRADE"))
+    return notional_flows(fixflows).join(copies, number & (_flow_day() == F.col("TRADE_DAY")))
+
+
+def _prefix(flows: DataFrame, most: int) -> DataFrame:
+    """The first flows of every part of a trade, with their position."""
+    in_order = Window.partitionBy("NB", "PART").orderBy(
         F.col("DT_CAPREM0").isNull(),
         F.asc_nulls_last("LEGSTEP"),
         F.asc("FFL_VALUE_DATE"),
@@ -122,21 +136,68 @@ def notionals(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP)
         F.asc_nulls_last("DATE2"),
         F.asc("DT_CAPREM0"),
     )
+    return flows.withColumn("POSITION", F.row_number().over(in_order)).where(F.col("POSITION") <= most)
+
+
+def listed_prefixes(listed: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The first flows of trades that are not hot, and of those that are, the latter still in the two parts of the last level.
+
+    The first flows of several parts together are the first of the parts' first
+    flows.  So a trade spread over any number of map tasks merges in levels, and
+    its last task reads two prefixes.  Which part a flow takes depends on its
+    task, what comes out does not.
+    """
+    part = F.when(F.col("HOT"), F.pmod(F.spark_partition_id(), F.lit(LEVELS[0]))).otherwise(0)
+    first = _prefix(listed.withColumn("PART", part), most)
+    hot = first.where("HOT")
+    for parts in LEVELS[1:]:
+        hot = _prefix(hot.withColumn("PART", F.pmod("PART", F.lit(parts))), most)
+    return first.where(~F.col("HOT")), hot
+
+
+def notionals(
+    trades: DataFrame,
+    fixflows: DataFrame,
+    *,
+    cap: int = K.LIST_CAP,
+    by_trade: bool = False,
+    hot: int = HOT_FLOWS,
+) -> DataFrame:
+    """Comma-separated notionals per trade number, in schedule order.
+
+    The list spans all value dates of a trade number, as it is attached by
+    number alone.  Flows of one step are ordered by value date, leg, start date
+    and amount.
+
+    Only the elements that can fit are kept, which changes no list: the cut
+    looks at no element behind them.  The rank filter works inside the map
+    tasks first, so even a trade that owns a third of all flows sends a bounded
+    number of them from each, and these merge in levels.
+    """
+    most = elements_that_fit(cap)
+    bounded_groups(trades.sparkSession, most)
+    few, hot_ones = listed_prefixes(listed_flows(trades, fixflows, most, by_trade=by_trade, hot=hot), most)
+    merged = _prefix(hot_ones.withColumn("PART", F.lit(0)), most)
+    lists = _lists(few, most, cap).unionAll(_lists(merged, most, cap))
+    # A trade is in one of the two; the aggregate tells the optimizer that its number is unique.
+    return lists.groupBy("NB").agg(F.max("CONCAT_CAPREM0").alias("CONCAT_CAPREM0"))
+
+
+def _lists(flows: DataFrame, most: int, cap: int) -> DataFrame:
     element = number_text(F.col("DT_CAPREM0"))
     room = F.lit(most + 1) - F.col("POSITION")
     times = F.least(F.col("COPIES"), room).cast("int")
     return (
-        listed.withColumn("POSITION", F.row_number().over(in_order))
-        .where(F.col("POSITION") <= most)
-        .select(
+        flows.select(
             "NB",
+            "PART",
             "POSITION",
             F.when(times == 1, element)
             .otherwise(F.array_join(F.array_repeat(element, times), K.LIST_SEPARATOR))
             .alias("ELEMENT"),
             element.isNull().alias("SKIPPED"),
         )
-        .groupBy("NB")
+        .groupBy("NB", "PART")
         .agg(
             F.expr(
                 f"listagg(if(SKIPPED, NULL, ELEMENT), '{K.LIST_SEPARATOR}') WITHIN GROUP (ORDER BY POSITION)"
@@ -286,7 +347,9 @@ def frequencies(trades: DataFrame, fixflows: DataFrame) -> DataFrame:
 # --- both, per trade and date ------------------------------------------------
 
 
-def schedules(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP) -> DataFrame:
+def schedules(
+    trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP, by_trade: bool = False
+) -> DataFrame:
     """Notional list and frequencies per (trade, day), where there are any.
 
     All joins in here are between narrow rows; the wide trades then need one
@@ -297,6 +360,6 @@ def schedules(trades: DataFrame, fixflows: DataFrame, *, cap: int = K.LIST_CAP)
     return (
         copies.join(found, same_trade & (F.col("STEP_COPIES") > 0), "left")
         .select("c.NB", "c.DAY", *_frequency_fields())
-        .join(notionals(trades, fixflows, cap=cap), "NB", "left")
+        .join(notionals(trades, fixflows, cap=cap, by_trade=by_trade), "NB", "left")
         .where(F.coalesce("QTY_FREQUENCY_LEG_1", "QTY_FREQUENCY_LEG_2", "CONCAT_CAPREM0").isNotNull())
     )
