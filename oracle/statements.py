@@ -56,6 +56,11 @@ _AS_OF_TWO_DATES = [
     _TWO_DATES[0], _TWO_DATES[1].replace("raw_trades AS", "all_trades AS"), _ON_THE_DAY
 ]
 
+_ON_THE_DAYS = """raw_trades AS (
+  SELECT * FROM all_trades WHERE THD_VALUE_DATE IN (
+    SELECT date_trunc('month', o_orderdate)::DATE FROM orders
+    WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 480000))"""
+
 # The extract shows the padded code as the source has it.
 _RAW_BASE = R.BASE.replace("FROM raw_trades", ", H_DVCS AS SOURCE_DVCS FROM raw_trades")
 _RAW_EXTRACT = ", ".join("SOURCE_DVCS AS H_DVCS" if name == "H_DVCS" else name for name in EXTRACT_COLUMNS)
@@ -95,6 +100,9 @@ FROM apart""",
     "counterparty_latest": _on_tables(
         f"SELECT MUREX_COUNTERPART, RPY_VALUE_DATE, {', '.join(R.ATTRIBUTES)} FROM newest"
     ),
+    "counterparty_snapshot": _on_tables(
+        f"SELECT MUREX_COUNTERPART, RPY_VALUE_DATE, {', '.join(R.ATTRIBUTES)} FROM newest"
+    ),
     "counterparty_match": _on_tables(
         f"SELECT NB, THD_VALUE_DATE, {', '.join(_ATTRIBUTES)}, MATCH_PRIORITY, MATCH_SOURCE FROM m"
     ),
@@ -161,6 +169,9 @@ FROM apart""",
     "report_as_of": statement(
         f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported", *_AS_OF, D.COUNTERPARTIES, D.FIXFLOWS, *RULES
     ),
+    "report_as_of_dates": statement(
+        f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported", _AS_OF[0], _ON_THE_DAYS, D.COUNTERPARTIES, D.FIXFLOWS, *RULES
+    ),
     "report_as_of_alternate_base": statement(
         f"SELECT {', '.join(REPORT_COLUMNS)} FROM reported", *_AS_OF_TWO_DATES, D.COUNTERPARTIES, D.FIXFLOWS, *RULES
     ),
@@ -180,6 +191,14 @@ FROM apart""",
     "payer_extract": statement(
         f"SELECT {_RAW_EXTRACT} FROM m WHERE NB IN (SELECT NB FROM returned)", D.RETURNED, *TABLES, _RAW_BASE, R.COUNTERPARTY
     ),
+    "payer_extract_csv": statement(
+        f"SELECT {', '.join(f'nullif({name}, {chr(39) * 2}) AS {name}' for name in EXTRACT_COLUMNS)}"
+        f" FROM (SELECT {_RAW_EXTRACT} FROM m WHERE NB IN (SELECT NB FROM returned))",
+        D.RETURNED,
+        *TABLES,
+        _RAW_BASE,
+        R.COUNTERPARTY,
+    ),
     "payer_extract_as_of": statement(
         f"SELECT {_RAW_EXTRACT} FROM m WHERE NB IN (SELECT NB FROM returned)",
         D.RETURNED,

@@ -121,11 +121,11 @@ def test_other_columns_can_be_investigated(spark, inputs):
 
 def test_view_by_value_date(spark, inputs, tmp_path):
     """Tables laid out by value date: an as-of report reads one folder."""
-    from tradescribe.sources import tables as T
+    from tradescribe.sources import layout, tables as T
 
     paths = [str(tmp_path / name) for name in ("t", "c", "f")]
     for df, path, column in zip(inputs, paths, ("THD_VALUE_DATE", "RPY_VALUE_DATE", "FFL_VALUE_DATE")):
-        T.write_by_value_date(df, path, column)
+        layout.write_by_value_date(df, path, column)
     stored = T.read_trades(spark, paths[0]), T.read_counterparties(spark, paths[1]), inputs[2]
     assert report(*stored, as_of=DAY).count() == len(ROWS)
     plan = report(*stored, as_of=date(2020, 1, 1))._jdf.queryExecution().executedPlan().toString()

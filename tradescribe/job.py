@@ -57,7 +57,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     for table in ("trades", "counterparties", "fixflows"):
         parser.add_argument(f"--{table}", required=table != "fixflows")
     parser.add_argument("--out", required=True, help="folder to create")
-    parser.add_argument("--as-of", type=date.fromisoformat, help="report one value date")
+    parser.add_argument("--as-of", type=date.fromisoformat, nargs="+", help="report these value dates")
+    parser.add_argument("--by-trade", action="store_true", help="the flows lie in buckets of trade numbers")
     parser.add_argument("--allow-list", help="report only these trade numbers")
     parser.add_argument("--suspects", help="trade numbers to investigate")
     parser.add_argument("--numbers-format", choices=["table", "csv", "text"], default="table")
@@ -75,25 +76,29 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
 def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
     arguments = _arguments(argv)
-    tune(spark)
+    tune(spark, by_trade=arguments.by_trade)
     trades = _load(spark, arguments.trades, S.TRADES)
     counterparties = _load(spark, arguments.counterparties, S.COUNTERPARTIES)
 
     def numbers(place: str | None) -> DataFrame | None:
         return _numbers(spark, place, arguments.numbers_format, arguments.numbers_column)
 
+    as_of = arguments.as_of
+    if as_of is not None:
+        as_of = as_of[0] if len(as_of) == 1 else spark.createDataFrame([(day,) for day in as_of], "day date")
     if arguments.job == "extract":
         extract = investigation_extract(
-            trades, counterparties, numbers(arguments.suspects), as_of=arguments.as_of, allow_list=numbers(arguments.allow_list)
+            trades, counterparties, numbers(arguments.suspects), as_of=as_of, allow_list=numbers(arguments.allow_list)
         )
         write_extract(extract, arguments.out)
         return
     inputs = trades, counterparties, _load(spark, arguments.fixflows, S.FIXFLOWS)
     options = {
-        "as_of": arguments.as_of,
+        "as_of": as_of,
         "allow_list": numbers(arguments.allow_list),
         "own_lei": arguments.own_lei,
         "list_cap": arguments.list_cap,
+        "by_trade": arguments.by_trade,
     }
     if arguments.job == "report":
         result = report(*inputs, **options)

@@ -110,20 +110,22 @@ def listed_flows(
 
     The flows come into the join straight from their shuffle (the null-safe
     comparison gives the trade side its own), which lets adaptive execution
-    split a hot trade there.  ``by_trade`` leaves that out: flows laid out by
-    trade number then need no shuffle.
+    split a hot trade there.  ``by_trade`` leaves both out: flows in buckets of
+    trade numbers need no shuffle, and a trade lies in one of them.
     """
     copies = trade_copies(trades).select(
         F.col("NB").alias("TRADE"), F.col("DAY").alias("TRADE_DAY"), "COPIES", "STEP_COPIES"
     )
     # A count of steps is never negative; the filter keeps the column in the plan, where it can be shared.
     copies = copies.where(F.col("STEP_COPIES") >= 0)
+    same_day = _flow_day() == F.col("TRADE_DAY")
+    if by_trade:
+        return notional_flows(fixflows).join(copies, (F.col("NB") == F.col("TRADE")) & same_day)
     hot_ones = hot_trades(fixflows, most, hot)
     copies = copies.join(hot_ones, F.col("TRADE") == F.col("HOT_TRADE"), "left").withColumn(
         "HOT", F.col("HOT_TRADE").isNotNull()
     )
-    number = F.col("NB") == F.col("TRADE") if by_trade else F.col("NB").eqNullSafe(F.col("TRADE"))
-    return notional_flows(fixflows).join(copies, number & (_flow_day() == F.col("TRADE_DAY")))
+    return notional_flows(fixflows).join(copies, F.col("NB").eqNullSafe(F.col("TRADE")) & same_day)
 
 
 def _prefix(flows: DataFrame, most: int) -> DataFrame:
@@ -176,9 +178,13 @@ def notionals(
     """
     most = elements_that_fit(cap)
     bounded_groups(trades.sparkSession, most)
-    few, hot_ones = listed_prefixes(listed_flows(trades, fixflows, most, by_trade=by_trade, hot=hot), most)
-    merged = _prefix(hot_ones.withColumn("PART", F.lit(0)), most)
-    lists = _lists(few, most, cap).unionAll(_lists(merged, most, cap))
+    if by_trade:
+        listed = listed_flows(trades, fixflows, most, by_trade=True)
+        lists = _lists(_prefix(listed.withColumn("PART", F.lit(0)), most), most, cap)
+    else:
+        few, hot_ones = listed_prefixes(listed_flows(trades, fixflows, most, hot=hot), most)
+        merged = _prefix(hot_ones.withColumn("PART", F.lit(0)), most)
+        lists = _lists(few, most, cap).unionAll(_lists(merged, most, cap))
     # A trade is in one of the two; the aggregate tells the optimizer that its number is unique.
     return lists.groupBy("NB").agg(F.max("CONCAT_CAPREM0").alias("CONCAT_CAPREM0"))
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from tradescribe.sources.layout import in_parts_of, on_dates
 from tradescribe.sources.tables import normal_trades, trade_numbers
 
 
@@ -15,13 +16,18 @@ def on_list(df: DataFrame, allow_list: DataFrame | None) -> DataFrame:
 
 
 def base_trades(
-    trades: DataFrame, *, as_of: date | None = None, allow_list: DataFrame | None = None, keep: tuple[str, ...] = ()
+    trades: DataFrame,
+    *,
+    as_of: date | DataFrame | None = None,
+    allow_list: DataFrame | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The trades to report, one row per input row.
 
-    ``as_of`` keeps one value date; on a table laid out by date it prunes
-    folders.  ``allow_list`` is a DataFrame whose first column holds trade
-    numbers.  Columns ``keep`` of the source stay beside the trade columns.
+    ``as_of`` keeps one value date, or the dates in a DataFrame's first column;
+    on a table laid out by date it prunes folders.  ``allow_list`` is a DataFrame
+    whose first column holds trade numbers; it prunes the number parts of a
+    table that has them.  Columns ``keep`` of the source stay beside the trade columns.
     """
-    kept = trades if as_of is None else trades.where(F.col("THD_VALUE_DATE") == F.lit(as_of))
+    kept = in_parts_of(on_dates(trades, "THD_VALUE_DATE", as_of), allow_list)
     return on_list(normal_trades(kept, keep), allow_list)

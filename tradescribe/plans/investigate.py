@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradescribe.operators.counterparty import matched_trades
 from tradescribe.operators.trades import base_trades, on_list
+from tradescribe.sources.layout import on_dates
 from tradescribe.sources.schemas import EXTRACT_COLUMNS
 
 _SOURCE = "SOURCE_"
@@ -19,7 +20,7 @@ def investigation_extract(
     suspects: DataFrame,
     columns: list[str] | None = None,
     *,
-    as_of: date | None = None,
+    as_of: date | DataFrame | None = None,
     allow_list: DataFrame | None = None,
 ) -> DataFrame:
     """Deciding inputs of the suspect trades (first column: trade number).
@@ -32,8 +33,7 @@ def investigation_extract(
     """
     wanted = columns or EXTRACT_COLUMNS
     raw = [name for name in wanted if name in trades.columns]
-    if as_of is not None:
-        counterparties = counterparties.where(F.col("RPY_VALUE_DATE") == F.lit(as_of))
+    counterparties = on_dates(counterparties, "RPY_VALUE_DATE", as_of)
     carried = trades.withColumn(_SOURCE, F.struct(*raw)) if raw else trades
     chosen = on_list(base_trades(carried, as_of=as_of, allow_list=allow_list, keep=(_SOURCE,) if raw else ()), suspects)
     return matched_trades(chosen, counterparties).select(

@@ -24,6 +24,7 @@ from tradescribe.operators import classify, clearing, events, options, packages,
 from tradescribe.operators.counterparty import attach_match, match_table, with_match_keys
 from tradescribe.operators.schedule import TRADE_KEY, schedules, with_day
 from tradescribe.operators.trades import base_trades, on_list
+from tradescribe.sources.layout import in_parts_of, on_dates
 from tradescribe.sources.schemas import REPORT_COLUMNS
 from tradescribe.sources.tables import normal_fixflows
 
@@ -106,23 +107,25 @@ def report(
     counterparties: DataFrame,
     fixflows: DataFrame,
     *,
-    as_of: date | None = None,
+    as_of: date | DataFrame | None = None,
     allow_list: DataFrame | None = None,
     own_lei: str = K.OWN_LEI,
     list_cap: int = K.LIST_CAP,
+    by_trade: bool = False,
 ) -> DataFrame:
     """Report on ``trades``; any DataFrame with the trade columns will do.
 
     ``as_of`` and ``allow_list`` restrict the trades (see ``base_trades``).
     All lookups share the trade's value date, so ``as_of`` restricts the other
-    two tables to the same date; the list restricts the flows as well.
+    two tables to the same dates; the list restricts the flows as well.
+    ``by_trade`` says that the flows lie in buckets of trade numbers (see
+    ``write_by_trade``) and are joined there.
 
     Notional lists longer than ``list_cap`` bytes are cut after a whole element
     and end in an ellipsis.
     """
-    if as_of is not None:
-        counterparties = counterparties.where(F.col("RPY_VALUE_DATE") == F.lit(as_of))
-        fixflows = fixflows.where(F.col("FFL_VALUE_DATE") == F.lit(as_of))
+    counterparties = on_dates(counterparties, "RPY_VALUE_DATE", as_of)
+    fixflows = in_parts_of(on_dates(fixflows, "FFL_VALUE_DATE", as_of), allow_list)
     base = base_trades(trades, as_of=as_of, allow_list=allow_list)
     flows = on_list(normal_fixflows(fixflows), allow_list)
     early = trade_fields()
@@ -134,7 +137,7 @@ def report(
     with_parties = attach_match(travelling, match_table(base, counterparties)).select(
         *TRADE_KEY, *early, *[value.alias(name) for name, value in late.items()]
     )
-    complete = with_parties.join(schedules(base, flows, cap=list_cap), TRADE_KEY, "left").withColumns(
+    complete = with_parties.join(schedules(base, flows, cap=list_cap, by_trade=by_trade), TRADE_KEY, "left").withColumns(
         {
             **constant_fields(own_lei),
             "NOTI_AMOUNT_IE_ON_ASSOC_EFF_DATE_LEG_1": F.col("CONCAT_CAPREM0"),

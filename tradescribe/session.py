@@ -28,12 +28,17 @@ RUNTIME_CONF = {
 GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def tune(spark: SparkSession) -> SparkSession:
+# Rows that lie by trade number also lie by trade number and date; Spark then joins on both without a shuffle.
+BY_TRADE_CONF = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+def tune(spark: SparkSession, *, by_trade: bool = False) -> SparkSession:
     """Apply the runtime settings to an existing session, and so to all its later queries.
 
-    No result depends on them.  They stay until the caller sets them back.
+    ``by_trade`` adds the one for tables in buckets of trade numbers.  No result
+    depends on them.  They stay until the caller sets them back.
     """
-    for key, value in RUNTIME_CONF.items():
+    for key, value in (RUNTIME_CONF | (BY_TRADE_CONF if by_trade else {})).items():
         spark.conf.set(key, value)
     return spark
 

@@ -86,11 +86,3 @@ def read_counterparties(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fixflows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.FIXFLOWS).parquet(path)
-
-
-def write_by_value_date(df: DataFrame, path: str, date_column: str) -> None:
-    """Lay a table out by value date, the key that all joins share.
-
-    A later run for one date then reads only that date's folder.
-    """
-    df.write.mode("errorifexists").partitionBy(date_column).parquet(path)
