@@ -1,13 +1,18 @@
 """Toxicity from the nearest labelled examples under TF-IDF cosine.
 
-Terms are words and their beginnings.  All terms of the labelled sample span the
-vectors, weighted by their rarity in all documents and by relevance frequency
-(Lan et al., 2009), which raises those that toxic examples hold more often and
-drops none; a term that no example holds is in no vector.  Examples with equal vectors are one, with counts of both
-labels.  They lie in an inverted index, with the most frequent terms as rows of
-a matrix, and every example's cosine is computed, so the nearest are exact.
+Terms are words.  All words of the labelled sample span the vectors, weighted by
+their rarity in all documents and by relevance frequency (Lan et al., 2009),
+which raises those that toxic examples hold more often and drops none; a word
+that no example holds is in no vector.  Examples with equal vectors are one, with
+counts of both labels.
+
+The vectors lie in blocks of similar ones.  The index has for each term its
+postings, and for each block that holds the term the greatest weight there.  A
+text's weights times these maxima, summed, bound every cosine in a block.  Blocks
+are taken by falling bounds and their cosines computed from the postings, until
+no bound reaches the cosine of the last neighbour, so the nearest are exact.
 Neighbours vote by their distance, and the votes are calibrated on the sample
-itself, each example left out of its own vote.
+itself, each example left out of its own vote and of its terms' relevance.
 
 A text without any term of the sample has no neighbours and the share of toxic
 examples among those like it.
@@ -22,99 +27,82 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradescribe.llm.tables import ship_package, shuffle_partitions
-from tradescribe.llm.words import _BASE, _BASE_INVERSE, _BYTE_VALUE, _powers_of, mix, text_slices
+from tradescribe.llm.ranked_search import terms_of
+from tradescribe.llm.tables import ship_package, shuffle_partitions, stored
 
-# Labelled documents the examples and terms are learned from, at most; chosen by a hash.
+# Labelled documents the examples and terms are learned from, and bytes of their texts, at most; the first by a hash.
 SAMPLE = 12_000
-PREFIXES = (4, 5, 6)
+SAMPLE_BYTES = 48_000_000
 
 NEIGHBOURS = 25
-# Terms kept as rows of a matrix, at most, and texts compared at once; neither changes a result.
-DENSE = 1_024
+# Vectors of a block, and blocks whose cosines are computed before the bounds are looked at, first and next; no result depends on them.
+BLOCK = 64
+FIRST, NEXT = 4, 16
+# Examples that leave themselves out in one task.
 TOGETHER = 64
+# The most frequent terms, which tell what vectors are similar.
+AXES = 256
 PRIOR = 1.0  # weight of the base rate in a vote
 THRESHOLD = 0.3
 
-_LETTER = np.zeros(256, dtype=bool)
-_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
-
-
-def text_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all terms of a slice, and the text each is from; A to Z count as lower case."""
-    inside = _LETTER[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    last = inside.copy()
-    last[:-1] &= ~inside[1:]
-    cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(data))]
-    first[cuts] = inside[cuts]
-    last[cuts - 1] = inside[cuts - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    text = np.searchsorted(offsets, starts, side="right") - 1
-    values = _BYTE_VALUE[_FOLD[data]]
-    values *= _powers_of(_BASE, len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(values, out=sums[1:])
-    shift = _powers_of(_BASE_INVERSE, len(data))
-    found = [mix((sums[ends] - sums[starts]) * shift[starts])]
-    owner = [text]
-    for n in PREFIXES:
-        long = ends - starts > n
-        a = starts[long]
-        found.append(mix((sums[a + n] - sums[a]) * shift[a] + np.uint64(n)))
-        owner.append(text[long])
-    return np.concatenate(found), np.concatenate(owner)
+# Words of texts that are counted at once, about.
+_COUNTED = 500_000
 
 
 class Vocabulary:
-    """Terms by hash, with a small table that tells most other hashes apart at once."""
+    """Numbers of terms, in their order."""
 
-    def __init__(self, terms: np.ndarray):
-        self.terms = np.sort(terms)
-        self.maybe = np.zeros(1 << 22, dtype=bool)
-        self.maybe[(self.terms >> np.uint64(42)).astype(np.int64)] = True
+    def __init__(self, terms: list[bytes]):
+        self.terms = terms
+        self.number = {term: i for i, term in enumerate(terms)}
 
-    def counted(self, hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, count) of every term of the vocabulary, by text and term."""
-        hit = self.maybe[(hashes >> np.uint64(42)).astype(np.int64)] if len(self.terms) else np.zeros(len(hashes), bool)
-        hashes, owner = hashes[hit], owner[hit]
-        if not len(hashes):
-            return (np.zeros(0, np.int64),) * 3
-        place = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
-        real = self.terms[place] == hashes
-        pairs, counts = np.unique(owner[real].astype(np.int64) * len(self.terms) + place[real], return_counts=True)
-        return pairs // len(self.terms), pairs % len(self.terms), counts
+    def __getstate__(self) -> list[bytes]:
+        return self.terms
 
+    def __setstate__(self, terms: list[bytes]) -> None:
+        self.__init__(terms)
 
-def _texts(batches: Iterator[pa.RecordBatch]):
+    def counted(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term, count) of every term of the vocabulary, by text and term."""
+        found, waiting, n = [], [], 0
+        get = self.number.get
+        for i, text in enumerate(texts):
+            for words in terms_of(text):
+                numbers = [number for number in map(get, words) if number is not None]
+                waiting.append(np.array(numbers, dtype=np.int64) + (i << 32))
+                n += len(numbers)
+                if n > _COUNTED:
+                    found.append(np.unique(np.concatenate(waiting), return_counts=True))
+                    waiting, n = [], 0
+        found.append(np.unique(np.concatenate([np.zeros(0, np.int64), *waiting]), return_counts=True))
+        # A long text may have been counted in parts.
+        keys, where = np.unique(np.concatenate([keys for keys, _ in found]), return_inverse=True)
+        counts = np.bincount(where, np.concatenate([c for _, c in found]), len(keys)).astype(np.int64)
+        return keys >> 32, keys & 0xFFFFFFFF, counts
+
+
+def _slices(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, data, offsets in text_slices(batch["text"]):
-            yield batch.slice(a, b - a), text_terms(data, offsets)
+        for start in range(0, batch.num_rows, most):
+            yield batch.slice(start, most)
 
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each example's terms by hash, ascending, and their counts."""
-    for rows, (hashes, owner) in _texts(batches):
-        order = np.lexsort((hashes, owner))
-        hashes, owner = hashes[order], owner[order]
-        new = np.ones(len(hashes), dtype=bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-        first = np.flatnonzero(new)
-        counts = np.diff(np.append(first, len(hashes))).astype(np.int32)
-        cuts = np.searchsorted(owner[first], np.arange(rows.num_rows + 1)).astype(np.int32)
+    """Each example's terms and their counts."""
+    for rows in _slices(batches, 64):
+        terms, counts = [], []
+        for text in rows["text"].to_pylist():
+            own: dict[bytes, int] = {}
+            for words in terms_of(text):
+                for word in words:
+                    own[word] = own.get(word, 0) + 1
+            terms.append(list(own))
+            counts.append(list(own.values()))
         yield pa.RecordBatch.from_arrays(
-            [
-                rows["doc_id"],
-                rows["toxic"],
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes[first].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(counts)),
-            ],
+            [rows["doc_id"], rows["toxic"], pa.array(terms, pa.list_(pa.binary())), pa.array(counts, pa.list_(pa.int32()))],
             ["doc_id", "toxic", "terms", "counts"],
         )
 
@@ -125,8 +113,8 @@ def _document_counts(shared):
         vocabulary: Vocabulary = shared.value
         total = np.zeros(len(vocabulary.terms), dtype=np.int64)
         documents = 0
-        for rows, (hashes, owner) in _texts(batches):
-            _, terms, _ = vocabulary.counted(hashes, owner)
+        for rows in _slices(batches):
+            _, terms, _ = vocabulary.counted(rows["text"].to_pylist())
             total += np.bincount(terms, minlength=len(total))
             documents += rows.num_rows
         held = np.flatnonzero(total)
@@ -137,20 +125,63 @@ def _document_counts(shared):
     return run
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
 class Postings:
-    """For each term the vectors that hold it, ascending, and its weights there."""
+    """For each term the vectors that hold it and its weights there, in runs of one block with their greatest weight."""
 
-    def __init__(self, terms: np.ndarray, vectors: np.ndarray, weights: np.ndarray, n_terms: int):
-        order = np.argsort(terms, kind="stable")  # the vectors already ascend
+    def __init__(self, terms: np.ndarray, vectors: np.ndarray, weights: np.ndarray, n_terms: int, n_vectors: int):
+        order = np.lexsort((vectors, terms))
+        terms, self.where, self.values = terms[order], vectors[order], weights[order]
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))])
-        self.where, self.values = vectors[order].astype(np.int32), weights[order].astype(np.float32)
-
-    def __getitem__(self, term: int) -> tuple[np.ndarray, np.ndarray]:
-        a, b = self.starts[term], self.starts[term + 1]
-        return self.where[a:b], self.values[a:b]
+        self.n_vectors, self.n_blocks = n_vectors, -(-n_vectors // BLOCK)
+        block = self.where // BLOCK
+        first = np.ones(len(terms), dtype=bool)
+        first[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
+        self.run_start = np.flatnonzero(first)
+        self.run_size = np.diff(np.append(self.run_start, len(terms)))
+        self.run_block = block[self.run_start]
+        self.run_max = np.maximum.reduceat(self.values, self.run_start) if len(terms) else self.values
+        self.runs = np.concatenate([[0], np.cumsum(np.bincount(terms[self.run_start], minlength=n_terms))])
 
     def items(self) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
-        return ((term, self[term]) for term in np.flatnonzero(np.diff(self.starts)).tolist())
+        for term in np.flatnonzero(np.diff(self.starts)).tolist():
+            a, b = self.starts[term], self.starts[term + 1]
+            yield term, (self.where[a:b], self.values[a:b])
+
+    def largest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
+        """Vectors with the k largest cosines above 0 and all that tie with the last, their cosines, and how many blocks were read."""
+        sizes = self.runs[terms + 1] - self.runs[terms]
+        runs = _ranges(self.runs[terms], sizes)
+        weight = np.repeat(weights, sizes)
+        bounds = np.bincount(self.run_block[runs], self.run_max[runs] * weight, self.n_blocks)
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        cosines = np.zeros(self.n_vectors)
+        least, done = 0.0, 0
+        for step in (FIRST, NEXT, len(order)):
+            now = order[done : done + step]
+            now = now[bounds[now] >= least - 1e-9]
+            if not len(now):
+                break
+            here = np.zeros(self.n_blocks, dtype=bool)
+            here[now] = True
+            hit = here[self.run_block[runs]]
+            own = runs[hit]
+            places = _ranges(self.run_start[own], self.run_size[own])
+            cosines += np.bincount(
+                self.where[places], self.values[places] * np.repeat(weight[hit], self.run_size[own]), self.n_vectors
+            )
+            done += len(now)
+            if without >= 0:
+                cosines[without] = 0
+            if self.n_vectors > k:
+                least = max(0.0, float(np.partition(cosines, -k)[-k]))
+        ids = np.flatnonzero((cosines > 0) & (cosines >= least - 1e-9))
+        return ids, cosines[ids], done
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -166,9 +197,11 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Distinct example vectors, for each term its postings, and the most frequent terms as a matrix."""
+    """Distinct example vectors in blocks of similar ones, and for each term its postings."""
 
-    idf: np.ndarray  # weight of each term
+    idf: np.ndarray  # rarity of each term
+    bad: np.ndarray  # toxic examples that hold it
+    good: np.ndarray  # others
     toxic: np.ndarray  # toxic examples of each vector
     total: np.ndarray  # all examples of each vector
     ids: np.ndarray  # smallest doc_id of each vector
@@ -200,62 +233,30 @@ class Index:
         return self.terms[a:b], self.counts[a:b]
 
     @cached_property
-    def postings(self) -> Postings:
-        n = len(self.total)
-        weights = [np.zeros(0, np.float32), *(self.weights(*self.vector(i)).astype(np.float32) for i in range(n))]
-        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.cuts))
-        return Postings(self.terms, owner, np.concatenate(weights), len(self.idf))
+    def all_weights(self) -> np.ndarray:
+        """Of all vectors, each of length 1."""
+        w = (1 + np.log(self.counts)) * (self.idf * relevance(self.bad, self.good))[self.terms]
+        owner = np.repeat(np.arange(len(self.total)), np.diff(self.cuts))
+        return w / np.sqrt(np.bincount(owner, w * w, len(self.total)))[owner]
 
     @cached_property
-    def often(self) -> tuple[np.ndarray, np.ndarray]:
-        """The row of each term in the matrix, or -1, and the matrix: weights by term and vector."""
-        held = np.diff(self.postings.starts)
-        often = np.argsort(-held, kind="stable")[:DENSE]
-        often = often[held[often] * 64 > len(self.total)]
-        row = np.full(len(held), -1)
-        row[often] = np.arange(len(often))
-        matrix = np.zeros((len(often), len(self.total)))
-        for i, term in enumerate(often.tolist()):
-            where, values = self.postings[term]
-            matrix[i, where] = values
-        return row, matrix
-
-    def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        w = (1 + np.log(counts)) * self.idf[terms]
+    def postings(self) -> Postings:
+        owner = np.repeat(np.arange(len(self.total)), np.diff(self.cuts))
+        return Postings(self.terms, owner, self.all_weights.astype(np.float32).astype(float), len(self.idf), len(self.total))
+
+    def weights(self, terms: np.ndarray, counts: np.ndarray, without: int | None = None) -> np.ndarray:
+        """Of a text; as an example with the label `without`, it is left out of its terms' relevance."""
+        bad, good = self.bad[terms], self.good[terms]
+        if without is not None:
+            bad, good = np.maximum(0, bad - without), np.maximum(0, good - (1 - without))
+        w = (1 + np.log(counts)) * self.idf[terms] * relevance(bad, good)
         return w / np.sqrt((w * w).sum())
 
-    def cosines(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """The cosine of every text, given by its terms and weights, with every vector."""
-        n = len(self.total)
-        rows, matrix = self.often
-        dense = np.zeros((len(texts), len(matrix)))
-        rest = np.zeros((len(texts), n))
-        for i, (terms, weights) in enumerate(texts):
-            row = rows[terms]
-            dense[i, row[row >= 0]] = weights[row >= 0]
-            terms, weights = terms[row < 0], weights[row < 0]
-            starts, ends = self.postings.starts[terms], self.postings.starts[terms + 1]
-            spans = list(zip(starts.tolist(), ends.tolist()))
-            if spans:
-                where = np.concatenate([self.postings.where[a:b] for a, b in spans])
-                values = np.concatenate([self.postings.values[a:b] for a, b in spans])
-                rest[i] = np.bincount(where, values * np.repeat(weights, ends - starts), n)
-        return rest + dense @ matrix if len(matrix) else rest
-
-    def largest(self, cosines: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The vectors with the k largest cosines above 0, and these; all that tie with the last."""
-        ids = np.flatnonzero(cosines > 0)
-        ids = ids[ids != without]
-        values = cosines[ids]
-        if len(values) > k:
-            near = values >= np.partition(values, -k)[-k] - 1e-9
-            ids, values = ids[near], values[near]
-        order = np.lexsort((self.ids[ids], -values))
-        return ids[order], np.minimum(values[order], 1.0)
-
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The same for one text; `without` names a vector to leave out."""
-        return self.largest(self.cosines([(terms, weights)])[0], k, without)
+        """The vectors with the k largest cosines above 0, and these; all that tie with the last; `without` names one to leave out."""
+        ids, cosines, _ = self.postings.largest(terms, weights, k, without)
+        order = np.lexsort((self.ids[ids], -cosines))
+        return ids[order], np.minimum(cosines[order], 1.0)
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray, own: tuple[int, int, int] | None = None) -> float:
         """The neighbours' votes, nearer ones count more; own (vector, toxic, total) is taken out of its vector."""
@@ -273,18 +274,13 @@ class Index:
         votes, rates = self.calibration
         return float(np.interp(vote, votes, rates)) if len(votes) else vote
 
-    def scores(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, list[int]]]:
-        """The calibrated score of each text, given by its terms and counts, and the doc_ids of its nearest examples."""
-        out: list[tuple[float, list[int]]] = [(self.empty_rate, [])] * len(texts)
-        some = [i for i, (terms, _) in enumerate(texts) if len(terms)]
-        for a in range(0, len(some), TOGETHER):
-            part = some[a : a + TOGETHER]
-            cosines = self.cosines([(texts[i][0], self.weights(*texts[i])) for i in part])
-            for i, own in zip(part, cosines):
-                ids, near = self.largest(own, NEIGHBOURS)
-                if len(ids):
-                    out[i] = self.calibrated(self.vote(ids, near)), self.ids[ids[:3]].tolist()
-        return out
+    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
+        """The calibrated score of a text, and the doc_ids of its nearest examples."""
+        if len(terms):
+            ids, near = self.nearest(terms, self.weights(terms, counts), NEIGHBOURS)
+            if len(ids):
+                return self.calibrated(self.vote(ids, near)), self.ids[ids[:3]].tolist()
+        return self.empty_rate, []
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,11 +311,12 @@ def own_votes(index: Index, first: int = 0, last: int | None = None) -> np.ndarr
     """The votes on vectors from `first` to `last`: with a toxic and with another example left out."""
     last = len(index.total) if last is None else last
     out = np.zeros((last - first, 2))
-    for a in range(first, last, TOGETHER):
-        texts = [index.vector(i) for i in range(a, min(a + TOGETHER, last))]
-        for i, cosines in enumerate(index.cosines([(terms, index.weights(terms, counts)) for terms, counts in texts]), a):
-            near = index.largest(cosines, NEIGHBOURS)
-            out[i - first] = [index.vote(*near, (i, label, 1)) for label in (1, 0)]
+    for i in range(first, last):
+        terms, counts = index.vector(i)
+        for place, label in enumerate((1, 0)):
+            if index.toxic[i] if label else index.total[i] > index.toxic[i]:
+                near = index.nearest(terms, index.weights(terms, counts, label), NEIGHBOURS)
+                out[i - first, place] = index.vote(*near, (i, label, 1))
     return out
 
 
@@ -346,12 +343,38 @@ def dealt_votes(spark: SparkSession) -> Callable[[Index], np.ndarray]:
     return votes
 
 
+def similar_order(cuts: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> np.ndarray:
+    """An order in which neighbouring vectors are similar: halves along the main directions of the most frequent terms."""
+    n = len(cuts) - 1
+    held = np.bincount(terms, minlength=n_terms)
+    axes = np.argsort(-held, kind="stable")[:AXES]
+    row = np.full(n_terms, -1)
+    row[axes] = np.arange(len(axes))
+    owner = np.repeat(np.arange(n), np.diff(cuts))
+    kept = row[terms] >= 0
+    matrix = np.zeros((n, len(axes)))
+    matrix[owner[kept], row[terms[kept]]] = weights[kept]
+    _, directions = np.linalg.eigh(matrix.T @ matrix)
+    along = matrix @ directions[:, ::-1][:, :6]
+
+    def halves(members: np.ndarray, depth: int) -> list[np.ndarray]:
+        if len(members) <= BLOCK:
+            return [members]
+        members = members[np.argsort(along[members, depth % along.shape[1]], kind="stable")]
+        middle = -(-len(members) // (2 * BLOCK)) * BLOCK
+        return halves(members[:middle], depth + 1) + halves(members[middle:], depth + 1)
+
+    return np.concatenate(halves(np.arange(n), 0))
+
+
 def build_index(
     examples: list[tuple[int, int, np.ndarray, np.ndarray]],
     idf: np.ndarray,
     votes: Callable[[Index], np.ndarray] = own_votes,
+    relevant: bool = False,
 ) -> Index:
-    """examples: (doc_id, label, terms, counts), terms ascending; votes: own_votes or the like."""
+    """examples: (doc_id, label, terms, counts), terms ascending; votes: own_votes or the like; relevant: weigh terms by their labels."""
+    bad, good = np.zeros(len(idf), dtype=np.int32), np.zeros(len(idf), dtype=np.int32)
     groups: dict[bytes, list] = {}  # by digest
     empty = [0, 0]
     for doc_id, toxic, terms, counts in examples:
@@ -359,6 +382,8 @@ def build_index(
             empty[0] += toxic
             empty[1] += 1
             continue
+        if relevant:
+            (bad if toxic else good)[terms] += 1
         group = groups.setdefault(digest(terms, counts), [terms, counts, 0, 0, doc_id])
         group[2] += toxic
         group[3] += 1
@@ -366,19 +391,27 @@ def build_index(
     distinct = sorted(groups.values(), key=lambda g: g[4])
     everything = max(1, sum(g[3] for g in distinct) + empty[1])
     base = (sum(g[2] for g in distinct) + empty[0]) / everything
-    index = Index(
-        idf,
-        np.array([g[2] for g in distinct], dtype=np.int64),
-        np.array([g[3] for g in distinct], dtype=np.int64),
-        np.array([g[4] for g in distinct], dtype=np.int64),
-        np.cumsum([0, *(len(g[0]) for g in distinct)]),
-        np.concatenate([np.zeros(0, np.int32), *(g[0] for g in distinct)]).astype(np.int32),
-        np.concatenate([np.zeros(0, np.int32), *(g[1] for g in distinct)]).astype(np.int32),
-        base,
-        (empty[0] + base) / (empty[1] + 1),
-    )
+
+    def index_of(distinct: list) -> Index:
+        return Index(
+            idf,
+            bad,
+            good,
+            np.array([g[2] for g in distinct], dtype=np.int64),
+            np.array([g[3] for g in distinct], dtype=np.int64),
+            np.array([g[4] for g in distinct], dtype=np.int64),
+            np.cumsum([0, *(len(g[0]) for g in distinct)]),
+            np.concatenate([np.zeros(0, np.int32), *(g[0] for g in distinct)]).astype(np.int32),
+            np.concatenate([np.zeros(0, np.int32), *(g[1] for g in distinct)]).astype(np.int32),
+            base,
+            (empty[0] + base) / (empty[1] + 1),
+        )
+
+    index = index_of(distinct)
     if not distinct:
         return index
+    order = similar_order(index.cuts, index.terms, index.all_weights, len(idf))
+    index = index_of([distinct[i] for i in order.tolist()])
     own = votes(index)
     label = np.tile([1.0, 0.0], len(distinct))
     size = np.stack([index.toxic, index.total - index.toxic], axis=1).ravel().astype(float)
@@ -395,12 +428,14 @@ def is_held_out(modulus: int = 4, held: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == held, F.lit(False))
 
 
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[Vocabulary, Index]:
+def fit(
+    documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES
+) -> tuple[Vocabulary, Index]:
     """Learn examples and the weights of their terms from documents whose labels may be learned from.
 
-    At most `sample` labelled documents are used, the first by a hash of doc_id.
-    Of a doc_id that repeats, the smallest text is the example.  How rare a term
-    is counts over all documents.
+    At most `sample` labelled documents of `sample_bytes` together are used, the
+    first by a hash of doc_id.  Of a doc_id that repeats, the smallest text is
+    the example.  How rare a term is counts over all documents.
     """
     spark = documents.sparkSession
     ship_package(spark)
@@ -416,53 +451,55 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[
     )
     # `sample` rows of two numbers, and one example of each.
     chosen = texts.join(F.broadcast(spark.createDataFrame(known.toArrow())), "doc_id")
-    examples = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    examples = stored(
+        chosen.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")), "toxicity-examples"
+    )
+    sizes = examples.select("doc_id", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id")).toArrow()
+    fits = np.cumsum(sizes["n"].to_numpy()) <= sample_bytes
+    few = spark.createDataFrame(pa.table({"doc_id": sizes["doc_id"].combine_chunks().filter(pa.array(fits))}))
     found = (
-        examples.mapInArrow(_example_terms, "doc_id long, toxic int, terms array<long>, counts array<int>")
+        examples.join(F.broadcast(few), "doc_id")
+        .mapInArrow(_example_terms, "doc_id long, toxic int, terms array<binary>, counts array<int>")
         .toArrow()
         .combine_chunks()
     )
-    hashes = found["terms"].combine_chunks().flatten().to_numpy().view(np.uint64)
-    vocabulary = Vocabulary(np.unique(hashes))
-    terms = vocabulary.terms
+    encoded = pc.dictionary_encode(found["terms"].combine_chunks().flatten())
+    vocabulary = Vocabulary(encoded.dictionary.to_pylist())
     shared = spark.sparkContext.broadcast(vocabulary)
     counts = texts.mapInArrow(_document_counts(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    frequency = np.zeros(len(terms), dtype=np.int64)
+    frequency = np.zeros(len(vocabulary.terms), dtype=np.int64)
     known_counts = counts.toArrow()
+    shared.unpersist()
     term, n = known_counts["term"].to_numpy(), known_counts["n"].to_numpy()
     total = int(n[term < 0].sum())
     frequency[term[term >= 0]] = n[term >= 0]
-    places = np.searchsorted(terms, hashes).astype(np.int32)
-    lengths = found["terms"].combine_chunks().value_lengths().to_numpy()
-    doc_ids, toxic = found["doc_id"].to_pylist(), found["toxic"].to_numpy()
-    numbers = found["counts"].combine_chunks().flatten().to_numpy().copy()
-    del found, hashes
-    bad = np.bincount(places, np.repeat(toxic, lengths), len(terms))
-    good = np.bincount(places, minlength=len(terms)) - bad
-    idf = (np.log((total + 1) / (frequency + 1)) + 1) * relevance(bad, good)
-    cuts = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-    rows = [
-        (doc_id, label, places[a:b], numbers[a:b])
-        for doc_id, label, a, b in zip(doc_ids, toxic.tolist(), cuts[:-1], cuts[1:])
-    ]
-    return vocabulary, build_index(rows, idf, dealt_votes(spark))
+    places = encoded.indices.to_numpy().astype(np.int32)
+    numbers = found["counts"].combine_chunks().flatten().to_numpy()
+    cuts = np.concatenate([[0], np.cumsum(found["terms"].combine_chunks().value_lengths().to_numpy())]).tolist()
+    rows = []
+    for doc_id, label, a, b in zip(found["doc_id"].to_pylist(), found["toxic"].to_pylist(), cuts[:-1], cuts[1:]):
+        order = np.argsort(places[a:b])
+        rows.append((doc_id, label, places[a:b][order], numbers[a:b][order]))
+    idf = np.log((total + 1) / (frequency + 1)) + 1
+    return vocabulary, build_index(rows, idf, dealt_votes(spark), relevant=True)
 
 
 def _scored(shared, *keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, index = shared.value
         known: dict[bytes, tuple[float, list[int]]] = {}
-        for rows, (hashes, owner) in _texts(batches):
-            text, terms, counts = vocabulary.counted(hashes, owner)
+        for rows in _slices(batches):
+            text, terms, counts = vocabulary.counted(rows["text"].to_pylist())
             cuts = np.searchsorted(text, np.arange(rows.num_rows + 1))
-            own = [(terms[a:b], counts[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-            keys = [digest(t, c) for t, c in own]
-            if len(known) > 50_000:
-                known.clear()
-            new = {key: text for key, text in zip(keys, own) if key not in known}
-            known.update(zip(new, index.scores(list(new.values()))))
-            scores = [known[key][0] for key in keys]
-            evidence = [known[key][1] for key in keys]
+            scores, evidence = [], []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                key = digest(terms[a:b], counts[a:b])
+                if key not in known:
+                    if len(known) > 50_000:
+                        known.clear()
+                    known[key] = index.score(terms[a:b], counts[a:b])
+                scores.append(known[key][0])
+                evidence.append(known[key][1])
             yield pa.RecordBatch.from_arrays(
                 [*(rows[name] for name in keep), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
                 [*keep, "score", "evidence"],
