@@ -7,10 +7,12 @@ that no example holds is in no vector.  Examples with equal vectors are one, wit
 counts of both labels.
 
 The vectors lie in blocks of similar ones.  The index has for each term its
-postings, and for each block that holds the term the greatest weight there.  A
-text's weights times these maxima, summed, bound every cosine in a block.  Blocks
-are taken by falling bounds and their cosines computed from the postings, until
-no bound reaches the cosine of the last neighbour, so the nearest are exact.
+postings, and for each block that holds the term the greatest weight there.  The
+most frequent terms, which most texts and vectors share, are rows of a matrix
+instead, multiplied with many texts at once.  The greatest such product in a block
+and a text's other weights times their maxima there, summed, bound every cosine in
+the block.  Blocks are taken by falling bounds and completed from the postings,
+until no bound reaches the cosine of the last neighbour, so the nearest are exact.
 Neighbours vote by their distance, and the votes are calibrated on the sample
 itself, each example left out of its own vote and of its terms' relevance.
 
@@ -21,9 +23,11 @@ examples among those like it.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +42,19 @@ SAMPLE = 12_000
 SAMPLE_BYTES = 48_000_000
 
 NEIGHBOURS = 25
-# Vectors of a block, and blocks whose cosines are computed before the bounds are looked at, first and next; no result depends on them.
-BLOCK = 64
-FIRST, NEXT = 4, 16
-# Examples that leave themselves out in one task.
+# Vectors of a block, blocks completed before the bounds are looked at, and rows of the matrix of frequent terms, at
+# most; no result depends on them.
+BLOCK = 512
+FIRST = 2
+FREQUENT = 300
+# Texts that are multiplied at once.
 TOGETHER = 64
 # The most frequent terms, which tell what vectors are similar.
 AXES = 256
 PRIOR = 1.0  # weight of the base rate in a vote
 THRESHOLD = 0.3
 
-# Words of texts that are counted at once, about.
-_COUNTED = 500_000
+Text = tuple[np.ndarray, np.ndarray]  # terms, ascending, and their counts or weights
 
 
 class Vocabulary:
@@ -65,23 +70,23 @@ class Vocabulary:
     def __setstate__(self, terms: list[bytes]) -> None:
         self.__init__(terms)
 
-    def counted(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, count) of every term of the vocabulary, by text and term."""
-        found, waiting, n = [], [], 0
-        get = self.number.get
-        for i, text in enumerate(texts):
-            for words in terms_of(text):
-                numbers = [number for number in map(get, words) if number is not None]
-                waiting.append(np.array(numbers, dtype=np.int64) + (i << 32))
-                n += len(numbers)
-                if n > _COUNTED:
-                    found.append(np.unique(np.concatenate(waiting), return_counts=True))
-                    waiting, n = [], 0
-        found.append(np.unique(np.concatenate([np.zeros(0, np.int64), *waiting]), return_counts=True))
-        # A long text may have been counted in parts.
-        keys, where = np.unique(np.concatenate([keys for keys, _ in found]), return_inverse=True)
-        counts = np.bincount(where, np.concatenate([c for _, c in found]), len(keys)).astype(np.int64)
-        return keys >> 32, keys & 0xFFFFFFFF, counts
+    def counted(self, text: str | None) -> Text:
+        """The terms of the vocabulary in a text, ascending, and how often it has them."""
+        words: Counter[bytes] = Counter()
+        for some in terms_of(text):
+            words.update(some)
+        numbers = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        counts = np.fromiter(words.values(), np.int64, len(words))
+        order = np.argsort(numbers)
+        order = order[np.searchsorted(numbers[order], 0) :]
+        return numbers[order], counts[order]
+
+    def held(self, text: str | None) -> list[int]:
+        """The terms of the vocabulary in a text, once each."""
+        words: set[bytes] = set()
+        for some in terms_of(text):
+            words.update(some)
+        return [number for number in map(self.number.get, words) if number is not None]
 
 
 def _slices(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.RecordBatch]:
@@ -92,13 +97,12 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.R
 
 def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each example's terms and their counts."""
-    for rows in _slices(batches, 64):
+    for rows in _slices(batches, TOGETHER):
         terms, counts = [], []
         for text in rows["text"].to_pylist():
-            own: dict[bytes, int] = {}
+            own: Counter[bytes] = Counter()
             for words in terms_of(text):
-                for word in words:
-                    own[word] = own.get(word, 0) + 1
+                own.update(words)
             terms.append(list(own))
             counts.append(list(own.values()))
         yield pa.RecordBatch.from_arrays(
@@ -114,8 +118,8 @@ def _document_counts(shared):
         total = np.zeros(len(vocabulary.terms), dtype=np.int64)
         documents = 0
         for rows in _slices(batches):
-            _, terms, _ = vocabulary.counted(rows["text"].to_pylist())
-            total += np.bincount(terms, minlength=len(total))
+            terms = [term for text in rows["text"].to_pylist() for term in vocabulary.held(text)]
+            total += np.bincount(np.array(terms, dtype=np.int64), minlength=len(total))
             documents += rows.num_rows
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict(
@@ -136,8 +140,17 @@ class Postings:
     def __init__(self, terms: np.ndarray, vectors: np.ndarray, weights: np.ndarray, n_terms: int, n_vectors: int):
         order = np.lexsort((vectors, terms))
         terms, self.where, self.values = terms[order], vectors[order], weights[order]
-        self.starts = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=n_terms))])
-        self.n_vectors, self.n_blocks = n_vectors, -(-n_vectors // BLOCK)
+        held = np.bincount(terms, minlength=n_terms)
+        self.starts = np.concatenate([[0], np.cumsum(held)])
+        self.n_blocks = -(-n_vectors // BLOCK)
+        often = np.argsort(-held, kind="stable")[:FREQUENT]
+        often = often[held[often] * 16 > n_vectors]
+        self.row = np.full(n_terms, -1)
+        self.row[often] = np.arange(len(often))
+        self.matrix = np.zeros((len(often), self.n_blocks * BLOCK))
+        for i, term in enumerate(often.tolist()):
+            own = slice(self.starts[term], self.starts[term + 1])
+            self.matrix[i, self.where[own]] = self.values[own]
         block = self.where // BLOCK
         first = np.ones(len(terms), dtype=bool)
         first[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
@@ -147,41 +160,53 @@ class Postings:
         self.run_max = np.maximum.reduceat(self.values, self.run_start) if len(terms) else self.values
         self.runs = np.concatenate([[0], np.cumsum(np.bincount(terms[self.run_start], minlength=n_terms))])
 
-    def items(self) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray]]]:
+    def items(self) -> Iterator[tuple[int, Text]]:
         for term in np.flatnonzero(np.diff(self.starts)).tolist():
             a, b = self.starts[term], self.starts[term + 1]
             yield term, (self.where[a:b], self.values[a:b])
 
-    def largest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
-        """Vectors with the k largest cosines above 0 and all that tie with the last, their cosines, and how many blocks were read."""
+    def largest(self, texts: list[Text], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """For each text the vectors with the k largest cosines above 0 and all that tie with the last, their cosines, and how many blocks were completed."""
+        weights = np.zeros((len(texts), len(self.matrix)))
+        for i, (terms, own) in enumerate(texts):
+            row = self.row[terms]
+            weights[i, row[row >= 0]] = own[row >= 0]
+        products = weights @ self.matrix
+        return [
+            self._completed(terms[self.row[terms] < 0], own[self.row[terms] < 0], products[i], k, without[i] if without else -1)
+            for i, (terms, own) in enumerate(texts)
+        ]
+
+    def _completed(
+        self, terms: np.ndarray, weights: np.ndarray, cosines: np.ndarray, k: int, without: int
+    ) -> tuple[np.ndarray, np.ndarray, int]:
         sizes = self.runs[terms + 1] - self.runs[terms]
         runs = _ranges(self.runs[terms], sizes)
         weight = np.repeat(weights, sizes)
-        bounds = np.bincount(self.run_block[runs], self.run_max[runs] * weight, self.n_blocks)
+        block = self.run_block[runs]
+        by_block = cosines.reshape(self.n_blocks, BLOCK)
+        bounds = np.bincount(block, self.run_max[runs] * weight, self.n_blocks) + by_block.max(axis=1)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        cosines = np.zeros(self.n_vectors)
-        least, done = 0.0, 0
-        for step in (FIRST, NEXT, len(order)):
-            now = order[done : done + step]
-            now = now[bounds[now] >= least - 1e-9]
-            if not len(now):
-                break
+        least = 0.0
+        done, left = order[:0], order
+        for first in (True, False):
+            now = left[:FIRST] if first else left[bounds[left] >= least - 1e-9]
             here = np.zeros(self.n_blocks, dtype=bool)
             here[now] = True
-            hit = here[self.run_block[runs]]
+            hit = here[block]
             own = runs[hit]
             places = _ranges(self.run_start[own], self.run_size[own])
-            cosines += np.bincount(
-                self.where[places], self.values[places] * np.repeat(weight[hit], self.run_size[own]), self.n_vectors
-            )
-            done += len(now)
+            products = self.values[places] * np.repeat(weight[hit], self.run_size[own])
+            cosines += np.bincount(self.where[places], products, len(cosines))
             if without >= 0:
                 cosines[without] = 0
-            if self.n_vectors > k:
-                least = max(0.0, float(np.partition(cosines, -k)[-k]))
-        ids = np.flatnonzero((cosines > 0) & (cosines >= least - 1e-9))
-        return ids, cosines[ids], done
+            done, left = np.concatenate([done, now]), left[FIRST:]
+            found = by_block[done].ravel()
+            if len(found) > k:
+                least = max(0.0, float(np.partition(found, -k)[-k]))
+        near = np.flatnonzero((found > 0) & (found >= least - 1e-9))
+        return done[near // BLOCK] * BLOCK + near % BLOCK, found[near], len(done)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -252,11 +277,18 @@ class Index:
         w = (1 + np.log(counts)) * self.idf[terms] * relevance(bad, good)
         return w / np.sqrt((w * w).sum())
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The vectors with the k largest cosines above 0, and these; all that tie with the last; `without` names one to leave out."""
-        ids, cosines, _ = self.postings.largest(terms, weights, k, without)
-        order = np.lexsort((self.ids[ids], -cosines))
-        return ids[order], np.minimum(cosines[order], 1.0)
+    def nearest_of(self, texts: list[Text], k: int, without: list[int] | None = None) -> list[Text]:
+        """For each text the vectors with the k largest cosines above 0, and these; all that tie with the last; `without` names one each to leave out."""
+        out = []
+        for a in range(0, len(texts), TOGETHER):
+            for ids, cosines, _ in self.postings.largest(texts[a : a + TOGETHER], k, without and without[a : a + TOGETHER]):
+                order = np.lexsort((self.ids[ids], -cosines))
+                out.append((ids[order], np.minimum(cosines[order], 1.0)))
+        return out
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> Text:
+        """The same for one text."""
+        return self.nearest_of([(terms, weights)], k)[0]
 
     def vote(self, ids: np.ndarray, cosines: np.ndarray, own: tuple[int, int, int] | None = None) -> float:
         """The neighbours' votes, nearer ones count more; own (vector, toxic, total) is taken out of its vector."""
@@ -274,13 +306,17 @@ class Index:
         votes, rates = self.calibration
         return float(np.interp(vote, votes, rates)) if len(votes) else vote
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, list[int]]:
-        """The calibrated score of a text, and the doc_ids of its nearest examples."""
-        if len(terms):
-            ids, near = self.nearest(terms, self.weights(terms, counts), NEIGHBOURS)
+    def scores(self, texts: list[Text]) -> list[tuple[float, list[int]]]:
+        """The calibrated score of each text, given by its terms and counts, and the doc_ids of its nearest examples."""
+        out: list[tuple[float, list[int]]] = [(self.empty_rate, [])] * len(texts)
+        if not len(self.total):
+            return out
+        some = [i for i, (terms, _) in enumerate(texts) if len(terms)]
+        found = self.nearest_of([(texts[i][0], self.weights(*texts[i])) for i in some], NEIGHBOURS)
+        for i, (ids, near) in zip(some, found):
             if len(ids):
-                return self.calibrated(self.vote(ids, near)), self.ids[ids[:3]].tolist()
-        return self.empty_rate, []
+                out[i] = self.calibrated(self.vote(ids, near)), self.ids[ids[:3]].tolist()
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -311,12 +347,15 @@ def own_votes(index: Index, first: int = 0, last: int | None = None) -> np.ndarr
     """The votes on vectors from `first` to `last`: with a toxic and with another example left out."""
     last = len(index.total) if last is None else last
     out = np.zeros((last - first, 2))
-    for i in range(first, last):
-        terms, counts = index.vector(i)
-        for place, label in enumerate((1, 0)):
-            if index.toxic[i] if label else index.total[i] > index.toxic[i]:
-                near = index.nearest(terms, index.weights(terms, counts, label), NEIGHBOURS)
-                out[i - first, place] = index.vote(*near, (i, label, 1))
+    some = [
+        (i, place, label)
+        for i in range(first, last)
+        for place, label in enumerate((1, 0))
+        if (index.toxic[i] if label else index.total[i] > index.toxic[i])
+    ]
+    texts = [(index.vector(i)[0], index.weights(*index.vector(i), label)) for i, _, label in some]
+    for (i, place, label), near in zip(some, index.nearest_of(texts, NEIGHBOURS)):
+        out[i - first, place] = index.vote(*near, (i, label, 1))
     return out
 
 
@@ -489,17 +528,14 @@ def _scored(shared, *keep: str):
         vocabulary, index = shared.value
         known: dict[bytes, tuple[float, list[int]]] = {}
         for rows in _slices(batches):
-            text, terms, counts = vocabulary.counted(rows["text"].to_pylist())
-            cuts = np.searchsorted(text, np.arange(rows.num_rows + 1))
-            scores, evidence = [], []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                key = digest(terms[a:b], counts[a:b])
-                if key not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    known[key] = index.score(terms[a:b], counts[a:b])
-                scores.append(known[key][0])
-                evidence.append(known[key][1])
+            own = [vocabulary.counted(text) for text in rows["text"].to_pylist()]
+            keys = [digest(*text) for text in own]
+            if len(known) > 50_000:
+                known.clear()
+            new = {key: text for key, text in zip(keys, own) if key not in known}
+            known.update(zip(new, index.scores(list(new.values()))))
+            scores = [known[key][0] for key in keys]
+            evidence = [known[key][1] for key in keys]
             yield pa.RecordBatch.from_arrays(
                 [*(rows[name] for name in keep), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
                 [*keep, "score", "evidence"],
