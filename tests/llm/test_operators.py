@@ -485,6 +485,76 @@ def test_nearest_examples_equal_brute_force():
         assert np.allclose(found, cosines[ids])
 
 
+def test_blocks_below_the_bound_are_left_out(monkeypatch):
+    """Vectors of two kinds: a text of one kind completes few blocks, and its neighbours are those of brute force."""
+    monkeypatch.setattr(toxicity_neighbours, "BLOCK", 16)
+    monkeypatch.setattr(toxicity_neighbours, "FREQUENT", 4)
+    random = np.random.default_rng(5)
+    examples = []
+    for i in range(600):
+        kind = 200 * (i % 2)
+        terms = np.sort(random.choice(200, 12, replace=False)) + kind
+        examples.append((i, i % 2, terms, np.ones(12, dtype=int)))
+    index = toxicity_neighbours.build_index(examples, np.ones(400), relevant=True)
+    blocks = 0
+    for _ in range(50):
+        terms = np.sort(random.choice(200, 12, replace=False))
+        weights = index.weights(terms, np.ones(12))
+        (ids, found, read), = index.postings.largest([(terms, weights)], 5)
+        cosines = np.zeros(600)
+        for term, weight in zip(terms, weights):
+            a, b = index.postings.starts[term], index.postings.starts[term + 1]
+            cosines[index.postings.where[a:b]] += index.postings.values[a:b] * weight
+        least = np.sort(cosines)[-5]
+        assert set(ids) == set(np.flatnonzero(cosines >= least - 1e-9)) and np.allclose(found, cosines[ids])
+        blocks += read
+    assert blocks < 50 * index.postings.n_blocks * 0.7
+
+
+def slow_toxicity(docs, known, neighbours=25):
+    """Every step in plain Python over dictionaries; calibration as the operator's own, which has its own test."""
+    texts = {d: t for d, t in docs}
+    chosen = {d: y for d, y in known if y is not None and d in texts and zlib.crc32(str(d).encode()) % 4 != 2}
+    word = re.compile(r"[0-9a-z\x80-\U0010FFFF]+")
+    bag = {d: Counter(word.findall((t or "").translate(ASCII_LOWER))) for d, t in docs}
+    held = Counter(w for d in bag for w in bag[d])
+    idf = {w: np.log((len(docs) + 1) / (n + 1)) + 1 for w, n in held.items()}
+    bad, good = Counter(), Counter()
+    for d, y in chosen.items():
+        (bad if y else good).update(list(bag[d]))
+    vocabulary = {w for d in chosen for w in bag[d]}
+
+    def vector(counts):
+        w = {t: (1 + np.log(n)) * idf[t] * np.log2(2 + bad[t] / max(1, good[t])) for t, n in counts.items() if t in vocabulary}
+        length = np.sqrt(sum(x * x for x in w.values()))
+        return {t: x / length for t, x in w.items()}
+
+    # Equal vectors are one example, known by the smallest id.
+    first = {}
+    for d in sorted(chosen):
+        if bag[d]:
+            first.setdefault(frozenset(bag[d].items()), d)
+    examples = {d: vector(bag[d]) for d in first.values()}
+    out = {}
+    for d, t in docs:
+        own = vector(bag[d])
+        cosines = sorted(((sum(x * e.get(t, 0) for t, x in own.items()), -i) for i, e in examples.items()), reverse=True)
+        out[d] = [(-i, c) for c, i in cosines[:neighbours] if c > 0]
+    return out
+
+
+def test_evidence_equals_brute_force(spark):
+    """The query's nearest examples on whole texts of the small table."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    known = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    expected = slow_toxicity([(r.doc_id, r.text) for r in docs.collect()], [(r.doc_id, r.toxic) for r in known.collect()])
+    for r in toxicity_neighbours.toxicity(docs, known).collect():
+        near = dict(expected[r.doc_id])
+        best = [c for _, c in expected[r.doc_id][:3]]
+        assert len(r.evidence) <= 3 and bool(r.evidence) == bool(best)
+        assert np.allclose([near.get(i, c) for i, c in zip(r.evidence, best)], best[: len(r.evidence)], atol=1e-6)
+
+
 def test_toxicity_of_held_out_documents(spark):
     folder = "/root/testdata/sf0.1"
     docs, known = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")

@@ -44,7 +44,7 @@ SAMPLE_BYTES = 48_000_000
 NEIGHBOURS = 25
 # Vectors of a block, blocks completed before the bounds are looked at, and rows of the matrix of frequent terms, at
 # most; no result depends on them.
-BLOCK = 512
+BLOCK = 1_024
 FIRST = 2
 FREQUENT = 300
 # Texts that are multiplied at once.
@@ -60,15 +60,18 @@ Text = tuple[np.ndarray, np.ndarray]  # terms, ascending, and their counts or we
 class Vocabulary:
     """Numbers of terms, in their order."""
 
-    def __init__(self, terms: list[bytes]):
+    def __init__(self, terms: pa.Array):
         self.terms = terms
-        self.number = {term: i for i, term in enumerate(terms)}
 
-    def __getstate__(self) -> list[bytes]:
+    def __getstate__(self) -> pa.Array:
         return self.terms
 
-    def __setstate__(self, terms: list[bytes]) -> None:
-        self.__init__(terms)
+    def __setstate__(self, terms: pa.Array) -> None:
+        self.terms = terms
+
+    @cached_property
+    def number(self) -> dict[bytes, int]:
+        return {term: i for i, term in enumerate(self.terms.to_pylist())}
 
     def counted(self, text: str | None) -> Text:
         """The terms of the vocabulary in a text, ascending, and how often it has them."""
@@ -257,10 +260,14 @@ class Index:
         a, b = self.cuts[i], self.cuts[i + 1]
         return self.terms[a:b], self.counts[a:b]
 
+    @cached_property
+    def term_weights(self) -> np.ndarray:
+        return self.idf * relevance(self.bad, self.good)
+
     @cached_property
     def all_weights(self) -> np.ndarray:
         """Of all vectors, each of length 1."""
-        w = (1 + np.log(self.counts)) * (self.idf * relevance(self.bad, self.good))[self.terms]
+        w = (1 + np.log(self.counts)) * self.term_weights[self.terms]
         owner = np.repeat(np.arange(len(self.total)), np.diff(self.cuts))
         return w / np.sqrt(np.bincount(owner, w * w, len(self.total)))[owner]
 
@@ -271,10 +278,11 @@ class Index:
 
     def weights(self, terms: np.ndarray, counts: np.ndarray, without: int | None = None) -> np.ndarray:
         """Of a text; as an example with the label `without`, it is left out of its terms' relevance."""
-        bad, good = self.bad[terms], self.good[terms]
-        if without is not None:
-            bad, good = np.maximum(0, bad - without), np.maximum(0, good - (1 - without))
-        w = (1 + np.log(counts)) * self.idf[terms] * relevance(bad, good)
+        if without is None:
+            w = (1 + np.log(counts)) * self.term_weights[terms]
+        else:
+            bad, good = np.maximum(0, self.bad[terms] - without), np.maximum(0, self.good[terms] - (1 - without))
+            w = (1 + np.log(counts)) * self.idf[terms] * relevance(bad, good)
         return w / np.sqrt((w * w).sum())
 
     def nearest_of(self, texts: list[Text], k: int, without: list[int] | None = None) -> list[Text]:
@@ -503,7 +511,7 @@ def fit(
         .combine_chunks()
     )
     encoded = pc.dictionary_encode(found["terms"].combine_chunks().flatten())
-    vocabulary = Vocabulary(encoded.dictionary.to_pylist())
+    vocabulary = Vocabulary(encoded.dictionary)
     shared = spark.sparkContext.broadcast(vocabulary)
     counts = texts.mapInArrow(_document_counts(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(vocabulary.terms), dtype=np.int64)
@@ -513,10 +521,12 @@ def fit(
     total = int(n[term < 0].sum())
     frequency[term[term >= 0]] = n[term >= 0]
     places = encoded.indices.to_numpy().astype(np.int32)
-    numbers = found["counts"].combine_chunks().flatten().to_numpy()
+    numbers = found["counts"].combine_chunks().flatten().to_numpy().copy()
     cuts = np.concatenate([[0], np.cumsum(found["terms"].combine_chunks().value_lengths().to_numpy())]).tolist()
+    doc_ids, toxic = found["doc_id"].to_pylist(), found["toxic"].to_pylist()
+    del found, encoded
     rows = []
-    for doc_id, label, a, b in zip(found["doc_id"].to_pylist(), found["toxic"].to_pylist(), cuts[:-1], cuts[1:]):
+    for doc_id, label, a, b in zip(doc_ids, toxic, cuts[:-1], cuts[1:]):
         order = np.argsort(places[a:b])
         rows.append((doc_id, label, places[a:b][order], numbers[a:b][order]))
     idf = np.log((total + 1) / (frequency + 1)) + 1
