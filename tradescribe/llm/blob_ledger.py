@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tradescribe.llm.tables import fresh_path, ship_package, stored
 
-RULES_VERSION = "2"
-
 # Up to so many unseen contents (64 bytes each) are told to all executors at once.
 BROADCAST_BLOBS = 200_000
 
@@ -52,14 +50,23 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]+", (), least=16),
 )
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?:(?!-----END )[\s\S])*(?:-----END (?:[A-Z]+ )*PRIVATE KEY-----)?", ("private key-----",)),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", ("eyj",)),
+    # The header, whole lines of base64 behind it, and the footer; never prose.
+    Rule(
+        "pem",
+        r"-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----(?:\s{0,4}[A-Za-z0-9+/=]{16,}+(?=\s{0,4}\n|\r|-----|\Z))*+"
+        r"(?:(?:\s{0,4}[A-Za-z0-9+/=]{1,15})?\s{0,4}-----END (?:[A-Z]+ ){0,4}PRIVATE KEY-----)?",
+        ("private key-----",),
+    ),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", ("eyj",)),
     Rule("bearer", r"[Bb]earer\x20+[A-Za-z0-9+/_.=-]{20,}", ("bearer",)),
-    Rule("userinfo", r"[a-z][a-z0-9+]*://[^\s/:@]+:[^\s/:@]{6,}@", ("://",)),
+    Rule("userinfo", r"(?<![a-z0-9+])[a-z][a-z0-9+]{0,31}://[^\s/:@]+:[^\s/:@]{6,}@", ("://",)),
 )
 RULES = BASE_RULES + MORE_RULES
 BASE_KINDS = tuple(rule.kind for rule in BASE_RULES)
 
+# A ledger's findings hold for these very rules: a changed pattern is another version.
+RULES_VERSION = hashlib.sha256(repr(RULES).encode()).hexdigest()[:16]
+
 FINDINGS = "blob string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 LEDGER = f"rules string, {FINDINGS}"
 

@@ -243,14 +243,19 @@ def dropped_by(rules: list[Rule]) -> Column:
 def quality_rules(statistics: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     """Learn the list from the documents that have a label quality of 0 (bad) or 1.
 
-    statistics should be a stored table.  At most `sample` rows are used, the
-    first by a hash of doc_id.  Without labels, the list is empty.
+    statistics should be a stored table.  At most `sample` documents are used, the
+    first by a hash of doc_id; one that repeats counts once, as bad if it is
+    labelled so, with its least statistics.  Without labels, the list is empty.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").alias("_quality"))
+    known = known.where(F.col("_quality").isin(0, 1)).groupBy("doc_id").agg(F.min("_quality").cast("int").alias("_quality"))
+    one = F.struct(F.col("_quality").alias("quality"), *[c.alias(name) for name, c in features().items()])
     rows = (
-        statistics.join(known.where(F.col("_quality").isin(0, 1)), "doc_id")
-        .select(F.col("_quality").cast("int").alias("quality"), "doc_id", *[c.alias(name) for name, c in features().items()])
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
+        statistics.join(known, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min(one).alias("row"))
+        .select("doc_id", "row.*")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
         .toArrow()
     )

@@ -15,9 +15,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tradescribe.llm.tables import ship_package
+from tradescribe.llm.tables import ship_package, stored
 from tradescribe.llm.words import _SEPARATOR, text_slices
 
 BUCKETS = 1 << 14
@@ -30,6 +30,8 @@ SEED = 11
 
 # Documents the model is fitted to, at most; chosen by a hash of their id and text.
 SAMPLE = 2_500
+# Languages that are learned, at most.
+LANGUAGES = 256
 # Every so-manieth document of the sample is kept for the temperature.
 HELD_BACK = 5
 # A text whose calibrated probability is lower is rejected.
@@ -154,22 +156,34 @@ def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def language_model(documents: DataFrame, sample: int = SAMPLE) -> LanguageModel | None:
     """Train on at most `sample` documents that have a language; None if there are none.
 
-    A document is in the sample by the hash of its id and text, which is
-    independent of its language.
+    Every language has the same share of the sample, the first of its documents
+    by a hash of the text, so that a rare one is learned too; of more than LANGUAGES,
+    the most frequent are.  A doc_id that repeats is one document, and so is a text.
     """
     ship_package(documents.sparkSession)
     known = documents.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        F.xxhash64("doc_id", "text").alias("order"), F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"
+        F.xxhash64("text").alias("order"), F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"
     )
-    # Texts may be long: only ids are sorted, and the texts of the chosen are read again.
-    last = known.select("order").orderBy("order").limit(sample).agg(F.max("order")).first()[0]
-    if last is None:
+    # Texts may be long: only their hashes are sorted, and the texts of the chosen are read again.
+    one = known.groupBy("doc_id").agg(F.min(F.struct("order", "lang")).alias("one")).select("one.*")
+    texts = stored(one.groupBy("order").agg(F.min("lang").alias("lang")), "language-texts")
+    names = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    if not names:
         return None
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    chosen = (
+        texts.where(F.col("lang").isin([row.lang for row in names]))
+        .withColumn("_first", first)
+        .where(F.col("_first") <= max(1, sample // len(names)))
+        .select("order", F.col("lang").alias("of"))
+    )
     rows = (
-        known.where(F.col("order") <= last)
-        .select("order", "lang", "text")
+        known.select("order", "text")
+        # `sample` rows of two short values.
+        .join(F.broadcast(stored(chosen, "language-chosen")), "order")
+        .groupBy("order")
+        .agg(F.min("text").alias("text"), F.min("of").alias("lang"))
         .mapInArrow(_histograms, "order long, lang string, buckets binary, shares binary")
-        .limit(2 * sample)  # rows of one hash are copies; there may be any number of them
         .toArrow()
     )
     rows = rows.sort_by([("order", "ascending"), ("lang", "ascending")])

@@ -6,7 +6,9 @@ their first bits in some pass and then stand close together, so every vector is
 compared with the next few in order, and the links found are united over all
 passes.  How many leading bits single out a vector's window is measured for each
 label.  Two vectors at an angle share so many bits with a known probability,
-and from it follow the label's passes, for a stated share of missed pairs.
+and from it follow the label's passes, for a stated share of missed pairs.  Where
+these would be more than the blocks of the label, all blocks are compared in
+pairs instead, which carries a vector less often and misses nothing.
 
 The windows connect a group of near copies of any size, but do not see every
 pair in it.  So all vectors of a connected group are compared at the end, as
@@ -71,12 +73,13 @@ def _keys(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
     for batch in batches:
         vectors, usable = units(batch["embedding"])
         passes = np.where(usable, batch["passes"].to_numpy(), 0)
-        width = vectors.shape[1]
-        for k in range(int(passes.max(initial=0))):
+        lengths = batch["embedding"].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        # The planes follow from a vector's own length, whatever else is in its batch.
+        for width, k in [(w, k) for w in np.unique(lengths[passes > 0]).tolist() for k in range(int(passes[lengths == w].max()))]:
             if (width, k) not in planes:
                 planes[width, k] = np.random.default_rng([SEED, width, k]).standard_normal((width, bits))
-            rows = np.flatnonzero(passes > k)
-            key = (vectors[rows] @ planes[width, k] > 0) @ weights
+            rows = np.flatnonzero((passes > k) & (lengths == width))
+            key = (vectors[rows, :width] @ planes[width, k] > 0) @ weights
             part = batch.select(["label", "vec", "embedding"]).take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(rows), k, np.int32)), part["label"], pa.array(key), part["vec"], part["embedding"]],
@@ -108,11 +111,14 @@ def _depths(batches: Iterator[pa.RecordBatch], threshold: float, window: int, bi
 
 
 def needed_passes(depth: np.ndarray, n: np.ndarray, threshold: float, missed: float) -> int:
-    """Passes after which a pair at the threshold is expected in no window with a probability of at most `missed`."""
+    """Passes after which a pair at the threshold is expected in no window with a probability of at most `missed`.
+
+    A very great number stands for any that is greater.
+    """
     found = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** depth
     miss = lambda passes: float((n * (1 - found) ** passes).sum() / n.sum())
     low, high = 0, 1
-    while miss(high) > missed:
+    while miss(high) > missed and high < 1 << 30:
         low, high = high, 2 * high
     while high - low > 1:
         middle = (low + high) // 2
@@ -120,9 +126,12 @@ def needed_passes(depth: np.ndarray, n: np.ndarray, threshold: float, missed: fl
     return high
 
 
-def _passes(table: pa.Table, threshold: float, missed: float) -> pa.Table:
-    n = needed_passes(table["depth"].to_numpy(), table["n"].to_numpy(), threshold, missed)
-    return pa.table({"of": table["label"][:1], "needed": pa.array([n], pa.int32())})
+def _passes(table: pa.Table, threshold: float, missed: float, measured: int, block: int) -> pa.Table:
+    """The passes a label needs, and whether its blocks are fewer."""
+    counts = table["n"].to_numpy()
+    n = needed_passes(table["depth"].to_numpy(), counts, threshold, missed)
+    blocks = -(-int(counts.sum()) // (measured * block))
+    return pa.table({"of": table["label"][:1], "needed": pa.array([n], pa.int32()), "exact": pa.array([n > blocks])})
 
 
 def _same_list(rows: pa.Table) -> np.ndarray:
@@ -211,8 +220,11 @@ def _across(table: pa.Table, threshold: float, window: int) -> pa.Table:
     return pa.table({"a": pa.array(ids[left], pa.int64()), "b": pa.array(ids[right], pa.int64())})
 
 
-def _compared(table: pa.Table, threshold: float) -> pa.Table:
-    """How many rows of the other block each vector links with; the rows of a vector weigh `copies`."""
+def _compared(table: pa.Table, threshold: float, links: bool = False) -> pa.Table:
+    """How many rows of the other block each vector links with; the rows of a vector weigh `copies`.
+
+    With `links`, a spanning forest of the linked vectors comes as well, in rows (a, b).
+    """
     vectors, _ = units(table["embedding"])
     own, i, j = table["own"].to_numpy(), table["i"][0].as_py(), table["j"][0].as_py()
     lengths = table["embedding"].combine_chunks().value_lengths().to_numpy()
@@ -224,7 +236,31 @@ def _compared(table: pa.Table, threshold: float) -> pa.Table:
         ids, counts = a, near @ weight[b]
     else:
         ids, counts = np.concatenate([a, b]), np.concatenate([near @ weight[b], near.T @ weight[a]])
-    return pa.table({"vec": table["vec"].take(pa.array(ids)), "n": pa.array(counts, pa.int64())})
+    found = pa.table({"vec": table["vec"].take(pa.array(ids)), "n": pa.array(counts, pa.int64())})
+    if not links:
+        return found
+    names = table["vec"].to_numpy()
+    left, right = np.nonzero(near)
+    forest = UnionFind(len(names))
+    pairs = [(names[x], names[y]) for x, y in zip(a[left].tolist(), b[right].tolist()) if forest.join(x, y)]
+    ends = [pa.array([pair[i] for pair in pairs], pa.int64()) for i in (0, 1)]
+    none = pa.nulls(len(pairs), pa.int64())
+    return pa.concat_tables(
+        [
+            found.append_column("a", pa.nulls(len(found), pa.int64())).append_column("b", pa.nulls(len(found), pa.int64())),
+            pa.table({"vec": none, "n": none, "a": ends[0], "b": ends[1]}),
+        ]
+    )
+
+
+def _in_blocks(members: DataFrame, group: str, block: int) -> DataFrame:
+    """A row for each pair of blocks (i, j) of a group that a vector takes part in; `own` is its block."""
+    return (
+        numbered(members, [group], ["vec"], "n", size="m")
+        .select(group, "vec", F.expr(f"n div {block}").cast("int").alias("own"), F.expr(f"(m - 1) div {block}").cast("int").alias("last"))
+        .select(group, "vec", "own", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
+        .select(group, "vec", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    )
 
 
 def near_vectors(
@@ -244,7 +280,8 @@ def near_vectors(
     marks the vector that bears it.  Passes are probabilistic: a link between
     groups that no pass brings within the window is missed, and none is invented.
     Every label has `passes` at least, and as many as a pair at the threshold
-    needs to be missed with a probability of about `missed`.
+    needs to be missed with a probability of about `missed`; if that is more than
+    the label has blocks, all its vectors are compared.  The threshold is above 0.
 
     A vector that is null, empty or zero or holds a null or a number that is not
     finite links with nothing, nor does one with a null label or of another
@@ -252,6 +289,8 @@ def near_vectors(
     kept.  Rows with equal label and vector are one class, so copies cost one
     vector; each gives a row.  Other columns are not read; an empty table gives no rows.
     """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must be above 0 and at most 1")
     spark = embeddings.sparkSession
     ship_package(spark)
     # Single precision is carried as it is: each comparison widens it without loss.
@@ -276,20 +315,30 @@ def near_vectors(
         order = "pass", "label", "key", "vec"
         return keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
 
+    measured = min(MEASURED, passes)
     needed = stored(
-        ordered_by_keys(classes.withColumn("passes", F.lit(min(MEASURED, passes))))
+        ordered_by_keys(classes.withColumn("passes", F.lit(measured)))
         .mapInArrow(partial(_depths, threshold=threshold, window=window, bits=bits), "label long, depth long, n long")
         .groupBy("label", "depth")
         .agg(F.sum("n").alias("n"))
         .groupBy("label")
-        .applyInArrow(lambda table: _passes(table, threshold, missed), "of long, needed int")
+        .applyInArrow(
+            lambda table: _passes(table, threshold, missed, measured, block), "of long, needed int, exact boolean"
+        )
         .where(F.col("needed") > passes),
         "vectors-passes",
     )
-    ordered = ordered_by_keys(
-        classes.join(needed, F.col("label") == F.col("of"), "left").withColumn(
-            "passes", F.coalesce("needed", F.lit(passes))
-        )
+    planned = classes.join(needed, F.col("label") == F.col("of"), "left")
+    exact = F.coalesce("exact", F.lit(False))
+    ordered = ordered_by_keys(planned.where(~exact).withColumn("passes", F.coalesce("needed", F.lit(passes))))
+    # Vectors without a direction link with nothing in the comparison either.
+    dense = stored(planned.where(exact).select("label", "vec"), "vectors-dense")
+    compared = stored(
+        _in_blocks(dense, "label", block)
+        .join(classes.select("vec", "copies", "embedding"), "vec")
+        .groupBy("label", "i", "j")
+        .applyInArrow(lambda table: _compared(table, threshold, links=True), "vec long, n long, a long, b long"),
+        "vectors-compared",
     )
     found = stored(
         ordered.mapInArrow(
@@ -304,22 +353,24 @@ def near_vectors(
         .applyInArrow(lambda table: _across(table, threshold, window), "a long, b long")
     )
     groups = stored(
-        components(found.where(F.col("a").isNotNull()).select("a", "b").unionAll(across)), "vectors-groups"
+        components(
+            found.select("a", "b").unionAll(compared.select("a", "b")).where(F.col("a").isNotNull()).unionAll(across)
+        ),
+        "vectors-groups",
     )
 
     members = stored(
-        classes.join(groups, F.col("vec") == F.col("id")).select("component_id", "vec"), "vectors-members"
-    )
-    blocks = (
-        numbered(members, ["component_id"], ["vec"], "n", size="m")
-        .select("component_id", "vec", F.expr(f"n div {block}").cast("int").alias("own"), F.expr(f"(m - 1) div {block}").cast("int").alias("last"))
-        .select("component_id", "vec", "own", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
-        .select("component_id", "vec", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        classes.join(groups, F.col("vec") == F.col("id"))
+        .join(dense.select(F.col("vec").alias("_dense")), F.col("vec") == F.col("_dense"), "left_anti")
+        .select("component_id", "vec"),
+        "vectors-members",
     )
     counts = (
-        blocks.join(classes.select("vec", "copies", "embedding"), "vec")
+        _in_blocks(members, "component_id", block)
+        .join(classes.select("vec", "copies", "embedding"), "vec")
         .groupBy("component_id", "i", "j")
         .applyInArrow(lambda table: _compared(table, threshold), "vec long, n long")
+        .unionAll(compared.where(F.col("vec").isNotNull()).select("vec", "n"))
         .groupBy("vec")
         .agg(F.sum("n").alias("n"))
     )

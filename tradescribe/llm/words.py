@@ -3,10 +3,13 @@
 A word is a run of bytes other than blank and the five control characters from
 tab to carriage return.  As these are ASCII, words can be found in UTF-8 bytes.
 Hashes are polynomials over random byte values modulo 2^64, mixed at the end.
+Long words have a cryptographic digest instead, as two different strings of a
+thousand letters can be equal under every such polynomial.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +30,9 @@ _FOLD[65:91] += 32
 # eight bytes for each byte of text stay small.
 SLICE_BYTES = 2_000_000
 
+# Words of more bytes than this have a digest.
+LONG_WORD = 64
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -88,12 +94,17 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bo
     """A 64-bit hash of each word; with fold, of the word with A to Z in lower case."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    values = _BYTE_VALUE[_FOLD[data] if fold else data]
+    letters = _FOLD[data] if fold else data
+    values = _BYTE_VALUE[letters]
     values *= _powers_of(_BASE, len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(values, out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * _powers_of(_BASE_INVERSE, len(data))[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64))
+    hashes = mix(hashes + (ends - starts).astype(np.uint64))
+    long = np.flatnonzero(ends - starts > LONG_WORD)
+    for i, a, b in zip(long.tolist(), starts[long].tolist(), ends[long].tolist()):
+        hashes[i] = int.from_bytes(hashlib.blake2b(letters[a:b].tobytes(), digest_size=8).digest(), "little")
+    return hashes
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
