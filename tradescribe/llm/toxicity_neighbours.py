@@ -31,7 +31,6 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradescribe.llm.ranked_search import terms_of
@@ -98,20 +97,31 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.R
             yield batch.slice(start, most)
 
 
-def _example_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each example's terms and their counts."""
-    for rows in _slices(batches, TOGETHER):
-        terms, counts = [], []
+def _distinct_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of a partition's examples, once for some examples each."""
+    for rows in _slices(batches):
+        found: set[bytes] = set()
         for text in rows["text"].to_pylist():
-            own: Counter[bytes] = Counter()
             for words in terms_of(text):
-                own.update(words)
-            terms.append(list(own))
-            counts.append(list(own.values()))
-        yield pa.RecordBatch.from_arrays(
-            [rows["doc_id"], rows["toxic"], pa.array(terms, pa.list_(pa.binary())), pa.array(counts, pa.list_(pa.int32()))],
-            ["doc_id", "toxic", "terms", "counts"],
-        )
+                found.update(words)
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.binary())], ["term"])
+
+
+def _example_vectors(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each example's terms by number, ascending, and their counts, packed."""
+        vocabulary: Vocabulary = shared.value
+        for rows in _slices(batches, TOGETHER):
+            vectors = [vocabulary.counted(text) for text in rows["text"].to_pylist()]
+            sizes = pa.array([len(terms) for terms, _ in vectors], pa.int32())
+            terms = [packed(np.diff(terms, prepend=0).astype("<i4")) for terms, _ in vectors]
+            counts = [packed(counts.astype("<i4")) for _, counts in vectors]
+            yield pa.RecordBatch.from_arrays(
+                [rows["doc_id"], rows["toxic"], sizes, pa.array(terms, pa.binary()), pa.array(counts, pa.binary())],
+                ["doc_id", "toxic", "size", "terms", "counts"],
+            )
+
+    return run
 
 
 def _document_counts(shared):
@@ -141,8 +151,9 @@ class Postings:
     """For each term the vectors that hold it and its weights there, in runs of one block with their greatest weight."""
 
     def __init__(self, terms: np.ndarray, vectors: np.ndarray, weights: np.ndarray, n_terms: int, n_vectors: int):
-        order = np.lexsort((vectors, terms))
-        terms, self.where, self.values = terms[order], vectors[order], weights[order]
+        order = np.argsort(terms, kind="stable")  # the vectors already ascend
+        terms, self.where, self.values = terms[order], vectors[order].astype(np.int32), weights[order].astype(np.float32)
+        del order, vectors, weights
         held = np.bincount(terms, minlength=n_terms)
         self.starts = np.concatenate([[0], np.cumsum(held)])
         self.n_blocks = -(-n_vectors // BLOCK)
@@ -157,8 +168,8 @@ class Postings:
         block = self.where // BLOCK
         first = np.ones(len(terms), dtype=bool)
         first[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
-        self.run_start = np.flatnonzero(first)
-        self.run_size = np.diff(np.append(self.run_start, len(terms)))
+        self.run_start = np.flatnonzero(first).astype(np.int32)
+        self.run_size = np.diff(np.append(self.run_start, np.int32(len(terms))))
         self.run_block = block[self.run_start]
         self.run_max = np.maximum.reduceat(self.values, self.run_start) if len(terms) else self.values
         self.runs = np.concatenate([[0], np.cumsum(np.bincount(terms[self.run_start], minlength=n_terms))])
@@ -264,7 +275,6 @@ class Index:
     def term_weights(self) -> np.ndarray:
         return self.idf * relevance(self.bad, self.good)
 
-    @cached_property
     def all_weights(self) -> np.ndarray:
         """Of all vectors, each of length 1."""
         w = (1 + np.log(self.counts)) * self.term_weights[self.terms]
@@ -273,8 +283,14 @@ class Index:
 
     @cached_property
     def postings(self) -> Postings:
-        owner = np.repeat(np.arange(len(self.total)), np.diff(self.cuts))
-        return Postings(self.terms, owner, self.all_weights.astype(np.float32).astype(float), len(self.idf), len(self.total))
+        owner = np.repeat(np.arange(len(self.total), dtype=np.int32), np.diff(self.cuts))
+        return Postings(self.terms, owner, self.all_weights(), len(self.idf), len(self.total))
+
+    def searched_only(self) -> None:
+        """Give up what only the examples' own votes need."""
+        if len(self.total) and len(self.terms):
+            _ = self.postings
+            self.terms = self.counts = np.zeros(0, np.int32)
 
     def weights(self, terms: np.ndarray, counts: np.ndarray, without: int | None = None) -> np.ndarray:
         """Of a text; as an example with the label `without`, it is left out of its terms' relevance."""
@@ -457,7 +473,7 @@ def build_index(
     index = index_of(distinct)
     if not distinct:
         return index
-    order = similar_order(index.cuts, index.terms, index.all_weights, len(idf))
+    order = similar_order(index.cuts, index.terms, index.all_weights(), len(idf))
     index = index_of([distinct[i] for i in order.tolist()])
     own = votes(index)
     label = np.tile([1.0, 0.0], len(distinct))
@@ -504,31 +520,25 @@ def fit(
     sizes = examples.select("doc_id", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id")).toArrow()
     fits = np.cumsum(sizes["n"].to_numpy()) <= sample_bytes
     few = spark.createDataFrame(pa.table({"doc_id": sizes["doc_id"].combine_chunks().filter(pa.array(fits))}))
-    found = (
-        examples.join(F.broadcast(few), "doc_id")
-        .mapInArrow(_example_terms, "doc_id long, toxic int, terms array<binary>, counts array<int>")
-        .toArrow()
-        .combine_chunks()
-    )
-    encoded = pc.dictionary_encode(found["terms"].combine_chunks().flatten())
-    vocabulary = Vocabulary(encoded.dictionary)
+    examples = stored(examples.join(F.broadcast(few), "doc_id"), "toxicity-sample")
+    # The words of at most `sample_bytes` of text.
+    terms = examples.mapInArrow(_distinct_terms, "term binary").distinct().orderBy("term").toArrow()["term"]
+    vocabulary = Vocabulary(terms.combine_chunks())
     shared = spark.sparkContext.broadcast(vocabulary)
     counts = texts.mapInArrow(_document_counts(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(vocabulary.terms), dtype=np.int64)
     known_counts = counts.toArrow()
-    shared.unpersist()
     term, n = known_counts["term"].to_numpy(), known_counts["n"].to_numpy()
     total = int(n[term < 0].sum())
     frequency[term[term >= 0]] = n[term >= 0]
-    places = encoded.indices.to_numpy().astype(np.int32)
-    numbers = found["counts"].combine_chunks().flatten().to_numpy().copy()
-    cuts = np.concatenate([[0], np.cumsum(found["terms"].combine_chunks().value_lengths().to_numpy())]).tolist()
-    doc_ids, toxic = found["doc_id"].to_pylist(), found["toxic"].to_pylist()
-    del found, encoded
+    found = examples.mapInArrow(
+        _example_vectors(shared), "doc_id long, toxic int, size int, terms binary, counts binary"
+    ).toArrow()
+    shared.unpersist()
     rows = []
-    for doc_id, label, a, b in zip(doc_ids, toxic, cuts[:-1], cuts[1:]):
-        order = np.argsort(places[a:b])
-        rows.append((doc_id, label, places[a:b][order], numbers[a:b][order]))
+    for doc_id, label, size, own, times in zip(*(found[name].to_pylist() for name in found.column_names)):
+        rows.append((doc_id, label, np.cumsum(unpacked(own, size), dtype=np.int32), unpacked(times, size)))
+    del found
     idf = np.log((total + 1) / (frequency + 1)) + 1
     return vocabulary, build_index(rows, idf, dealt_votes(spark), relevant=True)
 
@@ -536,6 +546,7 @@ def fit(
 def _scored(shared, *keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, index = shared.value
+        index.searched_only()
         known: dict[bytes, tuple[float, list[int]]] = {}
         for rows in _slices(batches):
             own = [vocabulary.counted(text) for text in rows["text"].to_pylist()]
