@@ -543,17 +543,17 @@ def fit(
     return vocabulary, build_index(rows, idf, dealt_votes(spark), relevant=True)
 
 
-def _scored(shared, *keep: str):
+def _scored(shared, text: str, *keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, index = shared.value
         index.searched_only()
         known: dict[bytes, tuple[float, list[int]]] = {}
         for rows in _slices(batches):
-            own = [vocabulary.counted(text) for text in rows["text"].to_pylist()]
-            keys = [digest(*text) for text in own]
-            if len(known) > 50_000:
+            own = [vocabulary.counted(own) for own in rows[text].to_pylist()]
+            keys = [digest(*counted) for counted in own]
+            if len(known) > 10_000:
                 known.clear()
-            new = {key: text for key, text in zip(keys, own) if key not in known}
+            new = {key: counted for key, counted in zip(keys, own) if key not in known}
             known.update(zip(new, index.scores(list(new.values()))))
             scores = [known[key][0] for key in keys]
             evidence = [known[key][1] for key in keys]
@@ -571,9 +571,11 @@ def with_toxicity(documents: DataFrame, vocabulary: Vocabulary, index: Index, *k
     ship_package(spark)
     shared = spark.sparkContext.broadcast((vocabulary, index))
     names = {name: f"_k{i}" for i, name in enumerate(keep)}
-    rows = documents.select(*[F.col(n).alias(k) for n, k in names.items()], F.coalesce("text", F.lit("")).alias("text"))
+    # A text that is kept travels once.
+    text = names.get("text", "text")
+    rows = documents.select(*[F.col(n).alias(k) for n, k in names.items()], *([] if "text" in names else ["text"]))
     schema = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in names.values())
-    out = rows.mapInArrow(_scored(shared, *names.values()), f"{schema}, score double, evidence array<long>")
+    out = rows.mapInArrow(_scored(shared, text, *names.values()), f"{schema}, score double, evidence array<long>")
     return out.select(*[F.col(k).alias(n) for n, k in names.items()], "score", "evidence")
 
 
