@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradescribe.llm.tables import fresh_path, ship_package, stored
+from tradescribe.llm.tables import fresh_path, release_memory, ship_package, stored
 
 # Up to so many unseen contents (64 bytes each) are told to all executors at once.
 BROADCAST_BLOBS = 200_000
@@ -96,6 +96,7 @@ def spans_text(spans: list[tuple[int, int, str]]) -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_memory()
     for batch in batches:
         spans = [spans_of(text) for text in batch["content"].to_pylist()]
         base = [[span for span in row if span[2] in BASE_KINDS] for row in spans]

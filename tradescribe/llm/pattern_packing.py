@@ -30,7 +30,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 
 from tradescribe.llm.byte_bpe import ByteBpe, byte_bpe
-from tradescribe.llm.tables import numbered, ship_package, stored
+from tradescribe.llm.tables import numbered, release_memory, ship_package, stored
 
 CAPACITY = 2048
 GRID = 16
@@ -264,6 +264,7 @@ def cut_points(n: int, capacity: int) -> list[int]:
 
 def _pieces(path: str, pattern: str, capacity: int, special: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         bpe = byte_bpe(path, pattern)
         for batch in batches:
             ids, texts = batch["doc_id"].to_pylist(), batch["text"].to_pylist()

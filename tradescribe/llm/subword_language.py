@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tradescribe.llm.tables import ship_package, stored
+from tradescribe.llm.tables import release_memory, ship_package, stored
 from tradescribe.llm.words import _SEPARATOR, text_slices
 
 BUCKETS = 1 << 14
@@ -133,6 +133,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
 
 
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release_memory()
     for batch in batches:
         for a, b, data, offsets in text_slices(batch["text"]):
             bucket, owner = subword_buckets(data, offsets)
@@ -198,6 +199,7 @@ def language_model(documents: DataFrame, sample: int = SAMPLE) -> LanguageModel
 
 def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         model: LanguageModel | None = shared.value
         for batch in batches:
             letters = batch["letters"].to_numpy(zero_copy_only=False)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 _SHIPPED = "_tradescribe_shipped"
@@ -33,11 +36,13 @@ def ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    The cluster names it in spark.checkpoint.dir.  Only where that is unset, as
-    in tests on one machine, a temporary folder takes its place.
+    The cluster names it in spark.checkpoint.dir.  Only where that is unset and
+    the master is local, as in tests, a temporary folder takes its place.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tradescribe-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -57,6 +62,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give back to the system what earlier tasks of this Python worker freed.
+
+    Workers are used again, and a model that an earlier stage has dropped would
+    otherwise count beside what the next one needs.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradescribe.llm.ranked_search import terms_of
-from tradescribe.llm.tables import ship_package, shuffle_partitions, stored
+from tradescribe.llm.tables import release_memory, ship_package, shuffle_partitions, stored
 
 # Labelled documents the examples and terms are learned from, and bytes of their texts, at most; the first by a hash.
 SAMPLE = 12_000
@@ -547,6 +547,7 @@ def _scored(shared, text: str, *keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, index = shared.value
         index.searched_only()
+        release_memory()
         known: dict[bytes, tuple[float, list[int]]] = {}
         for rows in _slices(batches):
             own = [vocabulary.counted(own) for own in rows[text].to_pylist()]
