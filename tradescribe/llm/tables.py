@@ -14,9 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 _SHIPPED = "_tradescribe_shipped"
 
+# Rows that go to Python at once: whole texts may be long, and each batch is in memory several times.  No result depends on it.
+ARROW_ROWS = 2_000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once for each Spark application."""
+    """Give the executors this package, once for each Spark application, and keep the session's batches small."""
+    if not 0 < int(spark.conf.get(_ARROW_ROWS)) <= ARROW_ROWS:
+        spark.conf.set(_ARROW_ROWS, str(ARROW_ROWS))
     context = spark.sparkContext
     if getattr(context, _SHIPPED, False):
         return
