@@ -1,14 +1,14 @@
 """Stupid-backoff scores of documents under the counts of the whole corpus (Brants et al., 2007).
 
 The counts never meet in one place.  A chunk of documents is exploded into its
-n-grams, which shrink to distinct ones with their counts and are dealt out by
-hash.  The task that owns a hash range adds up its part of the count tables and
-joins it back to the n-grams of each chunk, so a chunk receives the corpus
-counts of exactly the n-grams it holds.  There the scores of its documents are
-summed.  A frequent word is one n-gram of a chunk, however often it occurs.
+n-grams, which shrink to one row for each distinct one, with its count.  Spark
+deals these rows by n-gram, adds them up to the count tables and joins the
+tables back to the rows, so a chunk receives the corpus counts of the n-grams it
+holds.  There the scores of its documents are summed.  A frequent word is one
+row of a chunk, however often it occurs.
 
 Chunks are runs of rows of an input partition.  They are formed twice, once for
-the n-grams and once for the scores; that the counts fit the chunk is verified.
+the n-grams and once for the scores; a word without a count stops the query.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tradescribe.llm.tables import ship_package, shuffle_partitions
+from tradescribe.llm.tables import ship_package
 from tradescribe.llm.words import gram_hashes, text_slices, word_hashes, words_of
 
 BACKOFF = 0.4
@@ -31,20 +31,8 @@ ORDER = 2
 # Bytes of text in a chunk, at least, unless the partition ends.
 CHUNK_BYTES = 12_000_000
 
-
-def packed_sorted(values: np.ndarray) -> bytes:
-    """Ascending 64-bit values as compressed differences, whose upper bytes are mostly zero."""
-    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
-    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
-    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
-
-
-def unpacked_sorted(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:8], "little")
-    if not n:
-        return np.zeros(0, np.uint64)
-    planes = np.frombuffer(pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+# N-grams that go from Python to Spark at once.
+ROWS = 100_000
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -97,63 +85,40 @@ def chunk_grams(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndar
     return grams[ends - n + 1], ends
 
 
-_GRAMS = "bucket int, chunk long, place int, n int, grams binary, counts binary"
+_GRAMS = "n int, gram long, chunk long, count int"
 
 
-def _explode(order: int, buckets: int):
+def _explode(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for k, chunk in enumerate(chunks(batches)):
             hashes, firsts = hashed_words(chunk["text"])
             for n in range(1, order + 1):
                 grams, counts = np.unique(chunk_grams(hashes, firsts, n)[0], return_counts=True)
-                counts = counts.astype(np.uint32)
-                # Sorted hashes fall into sorted ranges, one for each bucket.
-                share = (1 << 64) // buckets + 1
-                cuts = np.searchsorted(grams, np.array([b * share for b in range(1, buckets)], dtype=np.uint64))
-                cuts = [0, *cuts.tolist(), len(grams)]
-                rows = [(b, cuts[b], cuts[b + 1]) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "bucket": pa.array([b for b, _, _ in rows], pa.int32()),
-                        "chunk": pa.array([task << 32 | k] * len(rows), pa.int64()),
-                        "place": pa.array([b for b, _, _ in rows], pa.int32()),
-                        "n": pa.array([n] * len(rows), pa.int32()),
-                        "grams": pa.array([packed_sorted(grams[a:b]) for _, a, b in rows], pa.binary()),
-                        "counts": pa.array([counts[a:b].tobytes() for _, a, b in rows], pa.binary()),
-                    }
-                )
+                for at in range(0, len(grams), ROWS):
+                    part = grams[at : at + ROWS]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "n": pa.array(np.full(len(part), n, np.int32)),
+                            "gram": pa.array(part.view(np.int64)),
+                            "chunk": pa.array(np.full(len(part), task << 32 | k, np.int64)),
+                            "count": pa.array(counts[at : at + ROWS].astype(np.int32)),
+                        }
+                    )
 
     return run
 
 
-_COUNTS = "chunk long, place int, n int, check_sum long, counts binary, total long"
-
-
-def check_sum(grams: np.ndarray) -> int:
-    return int(np.bitwise_xor.reduce(grams * np.uint64(3) + np.uint64(1), initial=np.uint64(0)).view(np.int64))
-
-
-def _count(table: pa.Table) -> pa.Table:
-    """Corpus counts of a hash range for one n, for each chunk in the order of its n-grams."""
-    grams = [unpacked_sorted(x.as_py()) for x in table["grams"]]
-    counts = [np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]
-    distinct, place = np.unique(np.concatenate(grams), return_inverse=True)
-    totals = np.bincount(place, np.concatenate(counts), len(distinct)).astype(np.uint64)
-    ends = np.cumsum([len(x) for x in grams])
-    parts = [totals[place[end - len(x) : end]] for x, end in zip(grams, ends)]
-    # Most counts are small: four bytes hold nearly all of them, eight the others.
-    parts = [x.astype(np.uint32) if not len(x) or x.max() < 1 << 32 else x for x in parts]
-    return pa.table(
-        {
-            "chunk": table["chunk"],
-            "place": table["place"],
-            "n": table["n"],
-            "check_sum": pa.array([check_sum(x) for x in grams], pa.int64()),
-            "counts": pa.array([x.tobytes() for x in parts], pa.binary()),
-            "total": pa.array([int(x.sum(dtype=np.uint64)) for x in counts], pa.int64()),
-        }
-    )
+def corpus_counts(grams: DataFrame, least: int) -> DataFrame:
+    """The count table joined to the n-grams of each chunk: chunk, n, gram, total.
+
+    grams is dealt by n-gram once, for the sums and for the join.  Longer
+    n-grams that occur less than `least` times stay behind: they are scored like
+    ones that do not occur, and as a context they belong to such n-grams only.
+    """
+    dealt = grams.repartition("n", "gram")
+    table = dealt.groupBy("n", "gram").agg(F.sum("count").alias("total")).where((F.col("n") == 1) | (F.col("total") >= least))
+    return dealt.select("n", "gram", "chunk").join(table, ["n", "gram"]).select("chunk", "n", "gram", "total")
 
 
 def backoff_logs(
@@ -203,25 +168,17 @@ def _score(order: int, least: int, backoff: float, total: int):
             rows = pa.ipc.open_stream(packed["rows"][0].as_py()).read_all()
             hashes, firsts = hashed_words(rows["text"])
             counts, ends = [], []
-            counted = counted.sort_by([("n", "ascending"), ("place", "ascending")])
             for n in range(1, order + 1):
                 grams, end = chunk_grams(hashes, firsts, n)
-                distinct, place = np.unique(grams, return_inverse=True)
                 part = counted.filter(pc.equal(counted["n"], n))
-                known, at = [], 0
-                for row in part.select(["check_sum", "counts"]).to_pylist():
-                    # The width follows from the sum of the hashes, which only the right number matches.
-                    for kind in (np.uint32, np.uint64):
-                        found = np.frombuffer(row["counts"], kind)
-                        if check_sum(distinct[at : at + len(found)]) == row["check_sum"]:
-                            break
-                    else:
-                        raise RuntimeError("a chunk has other n-grams than before: the input changed between two reads")
-                    known.append(found.astype(np.int64))
-                    at += len(found)
-                if at != len(distinct):
-                    raise RuntimeError("a chunk has other n-grams than before: the input changed between two reads")
-                counts.append(np.concatenate(known or [np.zeros(0, np.int64)])[place])
+                known = part["gram"].to_numpy().view(np.uint64)
+                at = np.argsort(known)
+                known, totals = known[at], part["total"].to_numpy()[at]
+                place = np.minimum(np.searchsorted(known, grams), max(len(known) - 1, 0))
+                found = known[place] == grams if len(known) else np.zeros(len(grams), dtype=bool)
+                if n == 1 and not found.all():
+                    raise RuntimeError("a chunk has other words than before: the input changed between two reads")
+                counts.append(np.where(found, totals[place], 0) if len(known) else np.zeros(len(grams), np.int64))
                 ends.append(end)
             logs, cut = backoff_logs(counts, ends, len(hashes), total, least, backoff)
             cuts = np.concatenate([[0], np.cumsum(cut > 0)])
@@ -265,10 +222,7 @@ def backoff_scores(
     ship_package(spark)
     texts = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     total = texts.select("text").mapInArrow(_word_counts, "n long").agg(F.sum("n")).first()[0] or 0
-    buckets = shuffle_partitions(spark)
-    counted = (
-        texts.mapInArrow(_explode(order, buckets), _GRAMS).groupBy("bucket", "n").applyInArrow(_count, _COUNTS)
-    )
+    counted = corpus_counts(texts.mapInArrow(_explode(order), _GRAMS), least)
     packed = texts.mapInArrow(_pack, "chunk long, rows binary")
     scores = (
         packed.groupBy("chunk")
