@@ -315,3 +315,22 @@ def test_plain_trades_meet_in_one_shuffle(stored):
     df.collect()
     final = plan(df).split("+- == Initial Plan ==")[0]
     assert "ReusedExchange" in final or final.count("WindowGroupLimit") <= 2
+
+
+def test_a_match_reads_the_trades_once_and_deals_no_versions(stored):
+    """The keys come from the combinations; the versions' aggregate goes straight to the joins' shuffles."""
+    df = match_table(base_trades(stored[0]), stored[1])
+    assert "REBALANCE" not in plan(df)
+    df.collect()
+    final = plan(df).split("+- == Initial Plan ==")[0]
+    assert final.count("/trades") == 1 and "ReusedExchange" in final
+
+
+def test_versions_are_not_sorted_for_their_keys(spark, stored):
+    """Keys that came out small are hashed; with them, all versions need no sort."""
+    never = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
+    with conf(spark, **never):
+        df = relevant_counterparties(base_trades(stored[0]), stored[1])
+        df.collect()
+        final = plan(df).split("+- == Initial Plan ==")[0]
+    assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
