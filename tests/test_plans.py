@@ -334,3 +334,11 @@ def test_versions_are_not_sorted_for_their_keys(spark, stored):
         df.collect()
         final = plan(df).split("+- == Initial Plan ==")[0]
     assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+
+
+def test_many_splits_are_not_dealt_again(spark, tmp_path):
+    """A file with fewer splits than cores is dealt, a larger one read as it lies; customers spread over the shuffle's tasks."""
+    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
+    assert "Exchange" in plan(D._dealt(few, "id")) and "Exchange" not in plan(D._dealt(many, "id"))
+    with conf(spark, spark__sql__shuffle__partitions="50"):
+        assert D._spread(few, "id").rdd.getNumPartitions() == 50
