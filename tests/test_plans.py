@@ -336,6 +336,17 @@ def test_versions_are_not_sorted_for_their_keys(spark, stored):
     assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
 
 
+def test_a_list_of_trades_meets_short_rows(spark, stored):
+    """What the shuffle for the list carries of a trade are results, not its raw columns."""
+    numbers = spark.createDataFrame([("1",), ("2",)], "NB string")
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        df = report(*stored, allow_list=numbers).select("NB", "EVENT_TIMESTAMP", "PACKAGE_INDICATOR", "CLEARED")
+        lines = plan(df).splitlines()
+    exchange = next(n for n, line in enumerate(lines) if "Exchange hashpartitioning(NB" in line)
+    below = [line for line in lines[exchange:] if "Project [" in line]
+    assert "AS CLEARED" in below[0]
+
+
 def test_many_splits_are_not_dealt_again(spark, tmp_path):
     """A file with fewer splits than cores is dealt, a larger one read as it lies; customers spread over the shuffle's tasks."""
     few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, spark.sparkContext.defaultParallelism)
