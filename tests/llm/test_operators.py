@@ -7,9 +7,11 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -511,6 +513,47 @@ def test_blocks_below_the_bound_are_left_out(monkeypatch):
     assert blocks < 50 * index.postings.n_blocks * 0.7
 
 
+def test_single_precision_leaves_the_nearest_exact():
+    """The matrix holds single precision; vectors whose cosines differ by less than that are told apart all the same."""
+    random = np.random.default_rng(8)
+    vectors = 1 + random.random((60, 20)) / 5
+    vectors[20:40] = vectors[0] * (1 + random.random((20, 20)) * 1e-6)
+    vectors = (vectors / np.sqrt((vectors**2).sum(axis=1))[:, None]).astype(np.float32)
+    terms, owners = np.tile(np.arange(20), 60), np.repeat(np.arange(60), 20)
+    postings = toxicity_neighbours.Postings(terms, owners, vectors.ravel(), 20, 60)
+    assert postings.matrix.dtype == np.float32 and postings.matrix.any()
+    text = vectors[30].astype(float) / np.sqrt((vectors[30].astype(float) ** 2).sum())
+    cosines = vectors.astype(float) @ text
+    for k in (1, 7, 21, 60, 100):
+        (ids, found, _), = postings.largest([(np.arange(20), text)], k)
+        assert set(ids) == set(np.flatnonzero(cosines >= np.sort(cosines)[-min(k, 60)] - 1e-9))
+        assert np.abs(found - cosines[ids]).max() < 1e-12
+
+
+def test_words_that_texts_share_are_looked_up_once():
+    asked = []
+
+    class Terms(dict):
+        def get(self, word, default=None):
+            asked.append(word)
+            return super().get(word, default)
+
+    vocabulary = toxicity_neighbours.Vocabulary(pa.array([b"a", b"b", b"c"]))
+    vocabulary.number = Terms(vocabulary.number)
+    texts = pa.RecordBatch.from_pydict({"text": ["b a a", "B x", None, "b x a"] * 50})
+    counts, = toxicity_neighbours._document_counts(SimpleNamespace(value=vocabulary))(iter([texts, texts]))
+    assert dict(zip(*counts.to_pydict().values())) == {0: 200, 1: 300, -1: 400}
+    assert len(asked) == 3
+
+
+def test_numbers_of_terms_do_not_depend_on_their_order_in_memory():
+    vocabulary = toxicity_neighbours.Vocabulary(pa.array([b"a", b"b", b"c"]))
+    vocabulary.frequent_first(np.array([3.0, 1.0, 2.0]))
+    assert list(vocabulary.number.items()) == [(b"b", 1), (b"c", 2), (b"a", 0)]
+    terms, counts = vocabulary.counted("c a x c")
+    assert terms.tolist() == [0, 2] and counts.tolist() == [1, 2]
+
+
 def slow_toxicity(docs, known, neighbours=25):
     """Every step in plain Python over dictionaries; calibration as the operator's own, which has its own test."""
     texts = {d: t for d, t in docs}

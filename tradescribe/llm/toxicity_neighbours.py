@@ -8,11 +8,13 @@ counts of both labels.
 
 The vectors lie in blocks of similar ones.  The index has for each term its
 postings, and for each block that holds the term the greatest weight there.  The
-most frequent terms, which most texts and vectors share, are rows of a matrix
-instead, multiplied with many texts at once.  The greatest such product in a block
-and a text's other weights times their maxima there, summed, bound every cosine in
-the block.  Blocks are taken by falling bounds and completed from the postings,
-until no bound reaches the cosine of the last neighbour, so the nearest are exact.
+most frequent terms, which most texts and vectors share, are columns of a matrix
+instead, multiplied with many texts at once, in single precision.  The greatest such
+product in a block and a text's other weights times their maxima there, summed, bound
+every cosine in the block.  Blocks are taken by falling bounds and completed from the
+postings, until no bound reaches the cosine of the last neighbour.  All these
+comparisons allow for the error of single precision, and the vectors that pass them
+are compared again in double precision, so the nearest are exact.
 Neighbours vote by their distance, and the votes are calibrated on the sample
 itself, each example left out of its own vote and of its terms' relevance.
 
@@ -41,15 +43,21 @@ SAMPLE = 12_000
 SAMPLE_BYTES = 48_000_000
 
 NEIGHBOURS = 25
-# Vectors of a block, blocks completed before the bounds are looked at, and rows of the matrix of frequent terms, at
+# Vectors of a block, blocks completed before the bounds are looked at, and columns of the matrix of frequent terms, at
 # most; no result depends on them.
 BLOCK = 1_024
 FIRST = 2
 FREQUENT = 300
+# More than two errors of a cosine whose frequent terms are summed in single precision: FREQUENT + 2 roundings of at
+# most 2**-24 of the product of two lengths of at most 1.
+SLACK = 1e-4
+SMALLEST = np.finfo(float).smallest_subnormal
 # Texts that are multiplied at once.
 TOGETHER = 64
 # The most frequent terms, which tell what vectors are similar.
 AXES = 256
+# Distinct words whose texts are counted at once, unless one text has more.
+WORDS = 50_000
 PRIOR = 1.0  # weight of the base rate in a vote
 THRESHOLD = 0.3
 
@@ -72,24 +80,27 @@ class Vocabulary:
     def number(self) -> dict[bytes, int]:
         return {term: i for i, term in enumerate(self.terms.to_pylist())}
 
+    def frequent_first(self, idf: np.ndarray) -> None:
+        """Lay the numbers of frequent terms, by their rarity, side by side in memory, where looking up words finds them faster."""
+        if "number" not in self.__dict__:
+            order = np.argsort(idf, kind="stable")
+            self.number = dict(zip(self.terms.take(pa.array(order)).to_pylist(), order.tolist()))
+
     def counted(self, text: str | None) -> Text:
         """The terms of the vocabulary in a text, ascending, and how often it has them."""
         words: Counter[bytes] = Counter()
         for some in terms_of(text):
             words.update(some)
+        return self.numbered(words)
+
+    def numbered(self, words: Counter[bytes]) -> Text:
+        """Those of the words that are terms of the vocabulary, ascending, and their counts."""
         numbers = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
         counts = np.fromiter(words.values(), np.int64, len(words))
         order = np.argsort(numbers)
         order = order[np.searchsorted(numbers[order], 0) :]
         return numbers[order], counts[order]
 
-    def held(self, text: str | None) -> list[int]:
-        """The terms of the vocabulary in a text, once each."""
-        words: set[bytes] = set()
-        for some in terms_of(text):
-            words.update(some)
-        return [number for number in map(self.number.get, words) if number is not None]
-
 
 def _slices(batches: Iterator[pa.RecordBatch], most: int = 512) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -130,10 +141,24 @@ def _document_counts(shared):
         vocabulary: Vocabulary = shared.value
         total = np.zeros(len(vocabulary.terms), dtype=np.int64)
         documents = 0
+        holders: Counter[bytes] = Counter()
+
+        def count() -> None:
+            terms, texts = vocabulary.numbered(holders)
+            total[terms] += texts
+            holders.clear()
+
         for rows in _slices(batches):
-            terms = [term for text in rows["text"].to_pylist() for term in vocabulary.held(text)]
-            total += np.bincount(np.array(terms, dtype=np.int64), minlength=len(total))
+            for text in rows["text"].to_pylist():
+                words: set[bytes] = set()
+                for some in terms_of(text):
+                    words.update(some)
+                holders.update(words)
+                # A word that many texts share is looked up once for all of them.
+                if len(holders) > WORDS:
+                    count()
             documents += rows.num_rows
+        count()
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict(
             {"term": pa.array(np.append(held, -1)), "n": pa.array(np.append(total[held], documents))}
@@ -144,7 +169,9 @@ def _document_counts(shared):
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All numbers of the ranges, one range after the other."""
-    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+    numbers = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    numbers += np.arange(len(numbers))
+    return numbers
 
 
 class Postings:
@@ -152,19 +179,22 @@ class Postings:
 
     def __init__(self, terms: np.ndarray, vectors: np.ndarray, weights: np.ndarray, n_terms: int, n_vectors: int):
         order = np.argsort(terms, kind="stable")  # the vectors already ascend
-        terms, self.where, self.values = terms[order], vectors[order].astype(np.int32), weights[order].astype(np.float32)
+        terms = terms[order]
+        # A posting's vector and weight lie side by side, and are read as one number.
+        self.pairs = np.empty(len(terms), [("where", "<i4"), ("value", "<f4")])
+        self.pairs["where"], self.pairs["value"] = vectors[order], weights[order]
         del order, vectors, weights
         held = np.bincount(terms, minlength=n_terms)
         self.starts = np.concatenate([[0], np.cumsum(held)])
         self.n_blocks = -(-n_vectors // BLOCK)
         often = np.argsort(-held, kind="stable")[:FREQUENT]
         often = often[held[often] * 16 > n_vectors]
-        self.row = np.full(n_terms, -1)
-        self.row[often] = np.arange(len(often))
-        self.matrix = np.zeros((len(often), self.n_blocks * BLOCK))
+        self.column = np.full(n_terms, -1)
+        self.column[often] = np.arange(len(often))
+        self.matrix = np.zeros((self.n_blocks * BLOCK, len(often)), np.float32)
         for i, term in enumerate(often.tolist()):
             own = slice(self.starts[term], self.starts[term + 1])
-            self.matrix[i, self.where[own]] = self.values[own]
+            self.matrix[self.where[own], i] = self.values[own]
         block = self.where // BLOCK
         first = np.ones(len(terms), dtype=bool)
         first[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
@@ -174,53 +204,78 @@ class Postings:
         self.run_max = np.maximum.reduceat(self.values, self.run_start) if len(terms) else self.values
         self.runs = np.concatenate([[0], np.cumsum(np.bincount(terms[self.run_start], minlength=n_terms))])
 
+    @property
+    def where(self) -> np.ndarray:
+        return self.pairs["where"]
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.pairs["value"]
+
     def items(self) -> Iterator[tuple[int, Text]]:
         for term in np.flatnonzero(np.diff(self.starts)).tolist():
             a, b = self.starts[term], self.starts[term + 1]
             yield term, (self.where[a:b], self.values[a:b])
 
     def largest(self, texts: list[Text], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
-        """For each text the vectors with the k largest cosines above 0 and all that tie with the last, their cosines, and how many blocks were completed."""
-        weights = np.zeros((len(texts), len(self.matrix)))
+        """For each text, a vector of length 1, the vectors with the k largest cosines above 0 and all that tie with the last, their cosines, and how many blocks were completed."""
+        often = np.zeros((len(texts), self.matrix.shape[1]))
         for i, (terms, own) in enumerate(texts):
-            row = self.row[terms]
-            weights[i, row[row >= 0]] = own[row >= 0]
-        products = weights @ self.matrix
-        return [
-            self._completed(terms[self.row[terms] < 0], own[self.row[terms] < 0], products[i], k, without[i] if without else -1)
-            for i, (terms, own) in enumerate(texts)
-        ]
+            column = self.column[terms]
+            often[i, column[column >= 0]] = own[column >= 0]
+        products = often.astype(np.float32) @ self.matrix.T
+        out = []
+        for i, (terms, own) in enumerate(texts):
+            rare = self.column[terms] < 0
+            ids, rest, done = self._completed(terms[rare], own[rare], products[i], k, without[i] if without else -1)
+            cosines = rest + self.matrix[ids].astype(np.float64) @ often[i]
+            near = (cosines > 0) & (cosines >= kth_largest(cosines, k) - 1e-9)
+            out.append((ids[near], cosines[near], done))
+        return out
 
     def _completed(
-        self, terms: np.ndarray, weights: np.ndarray, cosines: np.ndarray, k: int, without: int
+        self, terms: np.ndarray, weights: np.ndarray, products: np.ndarray, k: int, without: int
     ) -> tuple[np.ndarray, np.ndarray, int]:
+        """Vectors among which the k nearest are, what the terms outside the matrix give to their cosines, and how many blocks were completed."""
         sizes = self.runs[terms + 1] - self.runs[terms]
         runs = _ranges(self.runs[terms], sizes)
         weight = np.repeat(weights, sizes)
         block = self.run_block[runs]
-        by_block = cosines.reshape(self.n_blocks, BLOCK)
+        by_block = products.reshape(self.n_blocks, BLOCK)
         bounds = np.bincount(block, self.run_max[runs] * weight, self.n_blocks) + by_block.max(axis=1)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        least = 0.0
-        done, left = order[:0], order
-        for first in (True, False):
-            now = left[:FIRST] if first else left[bounds[left] >= least - 1e-9]
+        now, left = order[:FIRST], order[FIRST:]
+        completed: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # blocks, without and with the frequent terms
+        best = np.zeros(0)
+        least = SMALLEST
+        for _ in range(2):
             here = np.zeros(self.n_blocks, dtype=bool)
             here[now] = True
             hit = here[block]
             own = runs[hit]
-            places = _ranges(self.run_start[own], self.run_size[own])
-            products = self.values[places] * np.repeat(weight[hit], self.run_size[own])
-            cosines += np.bincount(self.where[places], products, len(cosines))
+            times = self.run_size[own]
+            pairs = self.pairs.view("<i8").take(_ranges(self.run_start[own], times)).view(self.pairs.dtype)
+            new = np.bincount(pairs["where"], pairs["value"] * np.repeat(weight[hit], times), len(products))
             if without >= 0:
-                cosines[without] = 0
-            done, left = np.concatenate([done, now]), left[FIRST:]
-            found = by_block[done].ravel()
-            if len(found) > k:
-                least = max(0.0, float(np.partition(found, -k)[-k]))
-        near = np.flatnonzero((found > 0) & (found >= least - 1e-9))
-        return done[near // BLOCK] * BLOCK + near % BLOCK, found[near], len(done)
+                new[without] = -np.inf
+            new = new.reshape(by_block.shape)[now].ravel()
+            cosines = new + by_block[now].ravel()
+            completed.append((now, new, cosines))
+            best = np.concatenate([best, cosines[cosines >= least]])
+            least = max(kth_largest(best, k) - SLACK, SMALLEST)
+            now = left[bounds[left] >= least]
+        ids, rest = [], []
+        for now, new, cosines in completed:
+            some = np.flatnonzero(cosines >= least)
+            ids.append(now[some // BLOCK] * BLOCK + some % BLOCK)
+            rest.append(new[some])
+        return np.concatenate(ids), np.concatenate(rest), sum(len(now) for now, _, _ in completed)
+
+
+def kth_largest(values: np.ndarray, k: int) -> float:
+    """The k-th largest of positive values, 0 if there are fewer."""
+    return float(np.partition(values, -k)[-k]) if len(values) >= k else 0.0
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -547,6 +602,7 @@ def _scored(shared, text: str, *keep: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, index = shared.value
         index.searched_only()
+        vocabulary.frequent_first(index.idf)
         release_memory()
         known: dict[bytes, tuple[float, list[int]]] = {}
         for rows in _slices(batches):
