@@ -10,7 +10,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradescribe.operators.counterparty import match_table, attach_match, relevant_counterparties, with_match_keys
-from tradescribe.operators.schedule import elements_that_fit, frequencies, listed_prefixes, notional_flows, notionals
+from tradescribe.operators.schedule import (
+    elements_that_fit,
+    flow_frequencies,
+    frequencies,
+    listed_prefixes,
+    notional_flows,
+    notionals,
+    schedules,
+)
 from tradescribe.operators.trades import base_trades
 from tradescribe.plans.consumer import buyers
 from tradescribe.plans.report import publish, report
@@ -353,3 +361,43 @@ def test_many_splits_are_not_dealt_again(spark, tmp_path):
     assert "Exchange" in plan(D._dealt(few, "id")) and "Exchange" not in plan(D._dealt(many, "id"))
     with conf(spark, spark__sql__shuffle__partitions="50"):
         assert D._spread(few, "id").rdd.getNumPartitions() == 50
+
+
+def executed(df) -> list[str]:
+    """The lines of the plan as it ran."""
+    df.collect()
+    return plan(df).split("+- == Initial Plan ==")[0].splitlines()
+
+
+def test_line_items_are_shuffled_once(spark):
+    """Lists, hot trades and frequencies read the same numbered lines."""
+    df = schedules(base_trades(D.trades(spark, SF_DIR)), T.normal_fixflows(D.fixflows(spark, SF_DIR)))
+    assert len([line for line in executed(df) if "FileScan" in line and "/lineitem" in line]) == 1
+
+
+def test_numbered_lines_lie_by_trade(spark):
+    """Their frequencies need no shuffle of their own."""
+    text = plan(flow_frequencies(T.normal_fixflows(D.fixflows(spark, SF_DIR))))
+    keys = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", text)
+    assert keys and all(re.fullmatch(r"number#\d+", key) for key in keys)
+
+
+def test_copies_are_counted_once(stored):
+    lines = executed(schedules(base_trades(stored[0]), T.normal_fixflows(stored[2])))
+    assert len([line for line in lines if "FileScan" in line and "/trades" in line]) == 1
+
+
+def test_both_lookups_read_one_shuffle_of_the_versions(spark, stored):
+    """The versions shrink in the map tasks; what is left of them is shuffled once for both lookups."""
+    never = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
+    with conf(spark, **never):
+        lines = executed(report(*stored).select("NB", "BUYER_IDENTIFIER"))
+    dealt = [line for line in lines if "Exchange hashpartitioning(" in line and "ReusedExchange" not in line]
+    assert len([line for line in dealt if "length(MUREX_COUNTERPART" in line]) == 1
+    scan = next(n for n, line in enumerate(lines) if "/counterparties" in line)
+    exchange = max(n for n, line in enumerate(lines[:scan]) if "Exchange hashpartitioning(" in line)
+    assert any("partial_max(" in line for line in lines[exchange:scan])
+
+
+def test_customers_spread_over_as_many_tasks_as_they_need(spark):
+    assert D._spread(spark.range(100), "id", most=1).rdd.getNumPartitions() == 100
