@@ -6,14 +6,17 @@ import math
 import random
 import re
 from collections import Counter
+from urllib.parse import unquote
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tests.compare import differences, duck
 from tests.llm.tables import no_documents, odd_documents
 from tradescribe.llm import ranked_search as rs
 from tradescribe.llm.queries import QUERIES, STATEMENTS
+from tradescribe.llm.tables import bounded_batches
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -91,6 +94,28 @@ def test_queries_in_blocks(spark, monkeypatch):
     assert Counter(tuple(r) for r in found.collect()) == slow_search(pairs, [(r.item_id, r.text) for r in items.collect()])
 
 
+def test_blocks_are_read_one_by_one(spark):
+    """Spark's reader holds a whole row group, so a file of many blocks must not be one."""
+    docs = spark.range(0, 10_000, 1, 1).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    files = [unquote(f.removeprefix("file://")) for f in rs.indexed(docs).inputFiles()]
+    groups = [m.row_group(i).num_rows for m in map(pq.read_metadata, files) for i in range(m.num_row_groups)]
+    assert groups == [1, 1, 1]
+
+
+def test_large_rows_go_to_python_a_few_at_once(spark):
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = spark.range(0, 40, 1, 1).selectExpr("repeat('x', 1000000) AS text")
+
+    def counted(batches):
+        for batch in batches:
+            yield rs.pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    with bounded_batches(spark):
+        found = [r.n for r in rows.mapInArrow(counted, "n long").collect()]
+    assert sum(found) == 40 and max(found) <= 5
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == limit
+
+
 def one_block(texts):
     block = rs._Block()
     for i, text in enumerate(texts):

@@ -10,6 +10,9 @@ taken by falling bounds and split at the document with the greatest impact, whic
 is scored exactly, until no bound reaches the best scores found.  Intervals of a
 few documents are scored outright.  Scores are whole numbers, as in the query's contract.
 
+A block is a row of some megabytes and a row group of its own, so that a task that
+reads many has one or a few in memory at once, in Spark's reader and in Python.
+
 Queries with equal texts are one.  They are told to the executors in blocks of
 bounded size; each task keeps the best of each query through all its blocks.
 """
@@ -27,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row, Window, functions as F
 
-from tradescribe.llm.tables import ship_package, stored
+from tradescribe.llm.tables import bounded_batches, ship_package, stored
 
 # Documents and bytes of text of a block, texts and bytes of queries told to executors at once, at most; one long text alone may have more.
 BLOCK_DOCUMENTS = 4_096
@@ -150,7 +153,8 @@ def indexed(documents: DataFrame) -> DataFrame:
     """
     ship_package(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return stored(rows.mapInArrow(_index, INDEX), "search-index")
+    with bounded_batches(documents.sparkSession):
+        return stored(rows.mapInArrow(_index, INDEX), "search-index", alone=True)
 
 
 # --- queries -----------------------------------------------------------------
@@ -407,7 +411,8 @@ def _one_block(index: DataFrame, texts: list[Row], most: int) -> DataFrame:
     """digest, rank, doc_id, score for a block of texts(digest, text)."""
     spark = index.sparkSession
     shared = spark.sparkContext.broadcast(Queries.of([row.text for row in texts]))
-    known = dict(index.mapInArrow(_statistics(shared), "term long, n long").groupBy("term").agg(F.sum("n")).collect())
+    counted = index.select("lengths", "terms", "starts").mapInArrow(_statistics(shared), "term long, n long")
+    known = dict(counted.groupBy("term").agg(F.sum("n")).collect())
     documents, length = known.get(-1, 0), known.get(-2, 0)
     weights = np.array([term_weight(documents, known.get(i, 0)) for i in range(len(shared.value.terms))], dtype=np.int64)
     found = index.mapInArrow(
@@ -455,8 +460,9 @@ def search(index: DataFrame, items: DataFrame, most: int = BEST) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("digest"),
     )
     found = spark.createDataFrame([], "digest string, rank int, doc_id long, score long")
-    for block in query_blocks(asked.groupBy("digest").agg(F.first("text").alias("text"))):
-        found = found.unionAll(_one_block(index, block, most))
+    with bounded_batches(spark):
+        for block in query_blocks(asked.groupBy("digest").agg(F.first("text").alias("text"))):
+            found = found.unionAll(_one_block(index, block, most))
     return asked.select("item_id", "digest").join(found, "digest").select("item_id", "rank", "doc_id", "score")
 
 
