@@ -41,6 +41,33 @@ def test_joined_of_nothing(spark):
     assert value(spark, lambda x: text.joined(x, x)) is None
 
 
+ODD_TEXTS = [None, "a", "ab", "a\x00", "a\x00b", "\x00", "\x01", "\x01\x02", "\x01\x03", "\x00\x03", "\x01\x00", "日本", "b|c", "x" * 50]
+
+
+def test_packed_texts_come_out_again_and_keep_their_order(spark):
+    rows = [(x, y, z) for x in ODD_TEXTS for y in ODD_TEXTS for z in (None, "z")]
+    df = spark.createDataFrame(rows, "x string, y string, z string").select(
+        "*", text.packed(F.col("x"), F.col("y"), F.col("z")).alias("p"), F.struct("x", "y", "z").alias("s")
+    )
+    out = text.with_unpacked(df, "p", ["a", "b", "c"]).select("x", "y", "z", "a", "b", "c").collect()
+    assert len(out) == len(rows) and all(tuple(r)[:3] == tuple(r)[3:] for r in out)
+    assert [r.s for r in df.orderBy("p").collect()] == [r.s for r in df.orderBy("s").collect()]
+    none = spark.range(1).select(F.lit(None).cast("string").alias("p"))
+    assert tuple(text.with_unpacked(none, "p", ["a", "b"]).first()) == (None, None)
+
+
+def test_packs_are_cut_chained_and_filled(spark):
+    one = text.packed(*map(F.lit, ["1", "2", "3"]))
+    rows = spark.range(1).select(
+        text.chained_packs(text.first_packs(one, 2), text.last_packs(one, 1)).alias("whole"),
+        text.packs_filled(text.packed(F.lit(None).cast("string"), F.lit("b")), text.packed(F.lit("c"), F.lit("d")), 2).alias("filled"),
+        text.packs_filled(F.lit(None).cast("string"), one, 3).alias("other"),
+        one.alias("one"),
+    )
+    row = rows.first()
+    assert row.whole == row.one == row.other and row.filled == "c\x00b"
+
+
 def test_lookup_and_first_match(spark):
     table = {"a": "1", "b": "2"}
     assert value(spark, lambda x: rules.lookup(x, table, "other"), given="b") == "2"

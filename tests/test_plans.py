@@ -401,3 +401,26 @@ def test_both_lookups_read_one_shuffle_of_the_versions(spark, stored):
 
 def test_customers_spread_over_as_many_tasks_as_they_need(spark):
     assert D._spread(spark.range(100), "id", most=1).rdd.getNumPartitions() == 100
+
+
+def test_attributes_travel_in_one_text(stored):
+    """The versions' shuffle, the lookups and the match carry one column for all attributes."""
+    text = plan(match_table(base_trades(stored[0]), stored[1]))
+    assert re.search(r"partial_max\(struct\(SYS_CREAT_DTMS, SYS_CREAT_DTMS#\d+, ATTRIBUTES_,", text)
+    df = match_table(base_trades(stored[0]), stored[1])
+    assert "LEI" not in df.columns and set(df.columns) >= {"PRIMARY_CODE", "MATCH_SOURCE"}
+
+
+def test_compact_report_is_the_same(spark, stored):
+    """Its texts travel in one, also where a list of trades is met, and joins are split as in the plain one."""
+    numbers = stored[0].select("NB").where("NB % 3 = 0")
+    for options in ({}, {"allow_list": numbers}, {"own_lei": ""}, {"by_trade": True}):
+        assert fingerprint(report(*stored, **options, compact=True)) == fingerprint(report(*stored, **options))
+    assert split_joins(spark, lambda: report(*stored, compact=True))
+
+
+def test_whole_reports_are_compact(spark):
+    import __spark_entry__ as entry
+
+    for name in ("report_full",):
+        assert "TEXTS_" in plan(entry.queries()[name](spark, SF_DIR))

@@ -101,7 +101,7 @@ def run(spark: SparkSession, argv: Sequence[str] | None = None) -> None:
         "by_trade": arguments.by_trade,
     }
     if arguments.job == "report":
-        result = report(*inputs, **options)
+        result = report(*inputs, **options, compact=True)
     else:
         result = field_list(*inputs, *arguments.fields, **options)
     result.write.mode("errorifexists").parquet(arguments.out)
