@@ -422,5 +422,5 @@ def test_compact_report_is_the_same(spark, stored):
 def test_whole_reports_are_compact(spark):
     import __spark_entry__ as entry
 
-    for name in ("report_full", "report_as_of_dates", "report_allow_list"):
+    for name in ("report_full", "report_as_of_dates", "report_allow_list", "report_alternate_base"):
         assert "TEXTS_" in plan(entry.queries()[name](spark, SF_DIR))
